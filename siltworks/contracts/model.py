@@ -1,0 +1,145 @@
+"""A table contract: what the source calls its columns and what Silver must hold."""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterable, Mapping
+from dataclasses import asdict, dataclass, field
+from functools import cached_property
+
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+
+CONTRACT_PROPERTY = "siltworks.contract"
+
+
+@dataclass(frozen=True)
+class ForeignKey:
+    column: str
+    parent: str
+    parent_column: str
+
+
+@dataclass(frozen=True)
+class Contract:
+    """One table's declared shape.
+
+    ``columns`` is a Spark DDL column list. ``defaults`` maps a column to a SQL
+    expression; ``source_names`` maps a Silver column to the source header when it
+    is not simply the upper-case name. Kept in code (or in the table's properties),
+    never inferred from the written data, because Parquet forgets NOT NULL.
+    """
+
+    name: str
+    columns: str
+    defaults: Mapping[str, str] = field(default_factory=dict)
+    source_names: Mapping[str, str] = field(default_factory=dict)
+    cluster_by: tuple[str, ...] = ()
+    unique_keys: tuple[tuple[str, ...], ...] = ()
+    foreign_keys: tuple[ForeignKey, ...] = ()
+    comment: str = ""
+    source_folder: str = ""
+
+    @cached_property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromDDL(self.columns)
+
+    def source_name(self, column: str) -> str:
+        return self.source_names.get(column, column.upper())
+
+    @property
+    def source_schema(self) -> T.StructType:
+        """The landed file's columns, in file order, all text."""
+        return T.StructType(
+            [T.StructField(self.source_name(f.name), T.StringType(), True) for f in self.schema]
+        )
+
+    @property
+    def required(self) -> list[str]:
+        return [f.name for f in self.schema if not f.nullable]
+
+    @property
+    def folder(self) -> str:
+        return self.source_folder or self.name
+
+    def create_table_sql(self, table: str, location: str | None = None) -> str:
+        columns = []
+        for f in self.schema:
+            parts = [f"`{f.name}`", f.dataType.simpleString()]
+            if f.name in self.defaults:
+                parts.append(f"DEFAULT {self.defaults[f.name]}")
+            if not f.nullable:
+                parts.append("NOT NULL")
+            for fk in self.foreign_keys:
+                if fk.column == f.name:
+                    parts.append(f"COMMENT 'FK to {fk.parent}.{fk.parent_column}'")
+            columns.append(" ".join(parts))
+        sql = f"CREATE TABLE IF NOT EXISTS {table} (\n  " + ",\n  ".join(columns) + "\n) USING parquet"
+        if self.cluster_by:
+            sql += f"\nCLUSTER BY ({', '.join(self.cluster_by)})"
+        if location:
+            sql += f"\nLOCATION {_quote(location)}"
+        comment = self.comment
+        for key in self.unique_keys:
+            comment = f"{comment} Unique: {', '.join(key)}.".strip()
+        if comment:
+            sql += f"\nCOMMENT {_quote(comment)}"
+        return sql + f"\nTBLPROPERTIES ({_quote(CONTRACT_PROPERTY)} = {_quote(self.to_json())})"
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @staticmethod
+    def from_json(text: str) -> Contract:
+        raw = json.loads(text)
+        raw["cluster_by"] = tuple(raw.get("cluster_by", ()))
+        raw["unique_keys"] = tuple(tuple(k) for k in raw.get("unique_keys", ()))
+        raw["foreign_keys"] = tuple(ForeignKey(**k) for k in raw.get("foreign_keys", ()))
+        return Contract(**raw)
+
+    @staticmethod
+    def from_table(spark: SparkSession, table: str) -> Contract:
+        """Read a contract back from the catalog.
+
+        Tables made by ``create_table_sql`` carry the whole contract; for any other
+        table the column list, NOT NULL marks and defaults the catalog knows are used.
+        """
+        rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+        properties = {r["key"]: r["value"] for r in rows}
+        if CONTRACT_PROPERTY in properties:
+            return Contract.from_json(properties[CONTRACT_PROPERTY])
+        schema = spark.table(table).schema
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
+            for f in schema
+        )
+        defaults = {
+            f.name: f.metadata["CURRENT_DEFAULT"] for f in schema if "CURRENT_DEFAULT" in f.metadata
+        }
+        name = table.split(".")[-1].strip("`")
+        return Contract(name=name, columns=columns, defaults=defaults)
+
+
+class Registry:
+    """Contracts by name; names are matched after trimming and lower-casing."""
+
+    def __init__(self, contracts: Iterable[Contract]):
+        self._by_name = {c.name: c for c in contracts}
+
+    def names(self) -> list[str]:
+        return sorted(self._by_name)
+
+    def lookup(self, name: str | None) -> Contract:
+        key = (name or "").strip().lower()
+        if not key:
+            raise ValueError("a table name is required")
+        if key not in self._by_name:
+            raise ValueError(f"unknown table {key!r}; known: {self.names()}")
+        return self._by_name[key]
+
+    def __iter__(self):
+        return (self._by_name[n] for n in self.names())
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
