@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import asdict, dataclass, field
 from functools import cached_property
@@ -10,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-CONTRACT_PROPERTY = "siltworks.contract"
+_REQUIRED = "NOT NULL"
 
 
 @dataclass(frozen=True)
@@ -63,6 +64,7 @@ class Contract:
         return self.source_folder or self.name
 
     def create_table_sql(self, table: str, location: str | None = None) -> str:
+        """The table's DDL. Comments state what a Parquet table does not keep itself."""
         columns = []
         for f in self.schema:
             parts = [f"`{f.name}`", f.dataType.simpleString()]
@@ -70,21 +72,29 @@ class Contract:
                 parts.append(f"DEFAULT {self.defaults[f.name]}")
             if not f.nullable:
                 parts.append("NOT NULL")
-            for fk in self.foreign_keys:
-                if fk.column == f.name:
-                    parts.append(f"COMMENT 'FK to {fk.parent}.{fk.parent_column}'")
+            notes = self._notes(f)
+            if notes:
+                parts.append(f"COMMENT {_quote('; '.join(notes))}")
             columns.append(" ".join(parts))
         sql = f"CREATE TABLE IF NOT EXISTS {table} (\n  " + ",\n  ".join(columns) + "\n) USING parquet"
         if self.cluster_by:
             sql += f"\nCLUSTER BY ({', '.join(self.cluster_by)})"
         if location:
             sql += f"\nLOCATION {_quote(location)}"
-        comment = self.comment
-        for key in self.unique_keys:
-            comment = f"{comment} Unique: {', '.join(key)}.".strip()
-        if comment:
-            sql += f"\nCOMMENT {_quote(comment)}"
-        return sql + f"\nTBLPROPERTIES ({_quote(CONTRACT_PROPERTY)} = {_quote(self.to_json())})"
+        keys = [f"Unique: {', '.join(key)}." for key in self.unique_keys]
+        comment = " ".join([self.comment, *keys]).strip()
+        return sql + (f"\nCOMMENT {_quote(comment)}" if comment else "")
+
+    def _notes(self, f: T.StructField) -> list[str]:
+        notes = [] if f.nullable else [_REQUIRED]
+        if f.name in self.source_names:
+            notes.append(f"source column {self.source_names[f.name]}")
+        notes += [
+            f"FK to {fk.parent}.{fk.parent_column}"
+            for fk in self.foreign_keys
+            if fk.column == f.name
+        ]
+        return notes
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -99,25 +109,49 @@ class Contract:
 
     @staticmethod
     def from_table(spark: SparkSession, table: str) -> Contract:
-        """Read a contract back from the catalog.
+        """Read a contract back from the catalog: columns, defaults, keys, clustering.
 
-        Tables made by ``create_table_sql`` carry the whole contract; for any other
-        table the column list, NOT NULL marks and defaults the catalog knows are used.
+        NOT NULL is taken from the schema where the format keeps it and from the column
+        comments ``create_table_sql`` writes where it does not.
         """
-        rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
-        properties = {r["key"]: r["value"] for r in rows}
-        if CONTRACT_PROPERTY in properties:
-            return Contract.from_json(properties[CONTRACT_PROPERTY])
         schema = spark.table(table).schema
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
-            for f in schema
+        columns, sources, references = [], {}, []
+        for f in schema:
+            note = f.metadata.get("comment", "")
+            required = not f.nullable or _REQUIRED in note.split("; ")
+            kind = f.dataType.simpleString()
+            columns.append(f"{f.name} {kind}" + (" NOT NULL" if required else ""))
+            sources |= {f.name: m for m in re.findall(r"source column (\S+)", note)}
+            references += [
+                ForeignKey(f.name, *m) for m in re.findall(r"FK to (\w+)\.(\w+)", note)
+            ]
+        details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        facts = {r["col_name"]: r["data_type"] or "" for r in details[len(schema) :]}
+        comment = facts.get("Comment", "")
+        # The catalog lists clustering columns after a heading of their own.
+        names = [r["col_name"] for r in details]
+        clustering = []
+        if "# Clustering Information" in names:
+            for name in names[names.index("# Clustering Information") + 2 :]:
+                if not name or name.startswith("#"):
+                    break
+                clustering.append(name)
+        return Contract(
+            name=table.split(".")[-1].strip("`"),
+            columns=", ".join(columns),
+            defaults={
+                f.name: f.metadata["CURRENT_DEFAULT"]
+                for f in schema
+                if "CURRENT_DEFAULT" in f.metadata
+            },
+            source_names=sources,
+            cluster_by=tuple(clustering),
+            unique_keys=tuple(
+                tuple(key.split(", ")) for key in re.findall(r"Unique: ([^.]+)\.", comment)
+            ),
+            foreign_keys=tuple(references),
+            comment=re.sub(r" ?Unique: [^.]+\.", "", comment).strip(),
         )
-        defaults = {
-            f.name: f.metadata["CURRENT_DEFAULT"] for f in schema if "CURRENT_DEFAULT" in f.metadata
-        }
-        name = table.split(".")[-1].strip("`")
-        return Contract(name=name, columns=columns, defaults=defaults)
 
 
 class Registry:

@@ -1,21 +1,3 @@
-from siltworks.functions.casts import (
-    cast_text,
-    clean,
-    empty_to_null,
-    to_boolean,
-    to_date,
-    to_fractional,
-    to_integer,
-    to_timestamp,
-)
+from siltworks.functions.casts import cast_text, clean, empty_to_null, normalise, parse, settle
 
-__all__ = [
-    "cast_text",
-    "clean",
-    "empty_to_null",
-    "to_boolean",
-    "to_date",
-    "to_fractional",
-    "to_integer",
-    "to_timestamp",
-]
+__all__ = ["cast_text", "clean", "empty_to_null", "normalise", "parse", "settle"]

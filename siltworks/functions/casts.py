@@ -7,13 +7,20 @@ raises, with ANSI mode on or off.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.functions.formats import (
     DATE_FORMATS,
+    ISO_TEXT,
     TIMESTAMP_FORMATS,
+    UNEVEN_SPACE,
+    US_MOMENT_TEXT,
+    US_TEXT,
     shape,
     starts_with_month_name,
 )
@@ -27,6 +34,7 @@ FALSE_TEXT = ("0", "0.0", "false", "f", "n", "no")
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+_NUMERIC = _WHOLE + _FRACTIONAL
 
 
 def empty_to_null(col: Column) -> Column:
@@ -36,41 +44,71 @@ def empty_to_null(col: Column) -> Column:
 
 
 def clean(col: Column) -> Column:
-    """Trimmed text, NULL when blank. Every cast below expects its input in this form."""
+    """Trimmed text, NULL when blank. Casts expect their input in this form."""
     return F.nullif(F.trim(col.cast("string")), F.lit(""))
 
 
-def _number_text(cleaned: Column) -> Column:
-    bare = F.translate(cleaned, ",$", "")
-    signed = F.when(
-        bare.startswith("("), F.regexp_replace(bare, PARENTHESISED, "-$1")
-    ).otherwise(bare)
-    return F.trim(signed)
+# A cast runs in three steps, each a Column of the one before: ``normalise`` the text,
+# ``settle`` its sign, ``parse`` it. Each step reads its input more than once, and only
+# a value that is a column of its own is computed once for all readers. A projection
+# over many columns therefore makes one select per step; ``cast_text`` nests them.
 
 
-def to_integer(cleaned: Column, target: T.DataType) -> Column:
-    # The fraction is all zeros when the gate passes, so cutting it off is exact.
-    text = _number_text(cleaned)
-    return F.when(
-        text.rlike(INTEGER_TEXT), F.substring_index(text, ".", 1).try_cast(target)
-    )
+def normalise(cleaned: Column, target: T.DataType) -> Column:
+    """Text without what the target type ignores: separators, case, repeated spaces."""
+    if isinstance(target, _NUMERIC):
+        return _without(_without(cleaned, ","), "$")
+    if isinstance(target, T.BooleanType):
+        return F.lower(cleaned)
+    if isinstance(target, (T.TimestampType, T.DateType)):
+        uneven = reduce(or_, [cleaned.contains(space) for space in UNEVEN_SPACE])
+        return F.when(uneven, F.regexp_replace(cleaned, r"\s+", " ")).otherwise(cleaned)
+    return cleaned
+
+
+def _without(text: Column, mark: str) -> Column:
+    return F.replace(text, F.lit(mark), F.lit(""))
+
+
+def settle(text: Column, target: T.DataType) -> Column:
+    """Parenthesised numbers are negative ones."""
+    if not isinstance(target, _NUMERIC):
+        return text
+    negative = F.regexp_replace(text, PARENTHESISED, "-$1")
+    return F.trim(F.when(text.startswith("("), negative).otherwise(text))
 
 
-def to_fractional(cleaned: Column, target: T.DataType) -> Column:
-    text = _number_text(cleaned)
-    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast(target))
+def parse(text: Column, target: T.DataType) -> Column:
+    if isinstance(target, T.StringType):
+        return text
+    if isinstance(target, T.BooleanType):
+        return _boolean(text)
+    if isinstance(target, _WHOLE):
+        return _integer(text, target)
+    if isinstance(target, _FRACTIONAL):
+        return F.when(text.rlike(DECIMAL_TEXT), text.try_cast(target))
+    if isinstance(target, T.TimestampType):
+        return _moment(text, US_MOMENT_TEXT, _first_parse(text, TIMESTAMP_FORMATS, _by_layout))
+    if isinstance(target, T.DateType):
+        return _date(text)
+    return text.try_cast(target)
 
 
-def to_boolean(cleaned: Column) -> Column:
-    text = F.lower(cleaned)
+def cast_text(cleaned: Column, target: T.DataType) -> Column:
+    """The whole cast of one ``clean`` column."""
+    return parse(settle(normalise(cleaned, target), target), target)
+
+
+def _boolean(text: Column) -> Column:
     return F.when(text.isin(*TRUE_TEXT), F.lit(True)).when(text.isin(*FALSE_TEXT), F.lit(False))
 
 
-def _single_spaced(cleaned: Column) -> Column:
-    return F.regexp_replace(cleaned, r"\s+", " ")
+def _integer(text: Column, target: T.DataType) -> Column:
+    # The fraction is all zeros when the gate passes, so cutting it off is exact.
+    return F.when(text.rlike(INTEGER_TEXT), F.substring_index(text, ".", 1).try_cast(target))
 
 
-def _first_parse(text: Column, layouts: tuple[str, ...], parse) -> Column:
+def _first_parse(text: Column, layouts: tuple[str, ...], attempt) -> Column:
     """The first layout that parses.
 
     A failed parse costs a thrown exception per row, so each layout is only tried on
@@ -78,50 +116,40 @@ def _first_parse(text: Column, layouts: tuple[str, ...], parse) -> Column:
     with a digit cannot both match, which halves the shapes to look at.
     """
 
-    def attempt(some):
-        return F.coalesce(*[F.when(text.rlike(shape(f)), parse(text, f)) for f in some])
+    def first(some):
+        return F.coalesce(*[F.when(text.rlike(shape(f)), attempt(text, f)) for f in some])
 
     named = [f for f in layouts if starts_with_month_name(f)]
     numeric = [f for f in layouts if not starts_with_month_name(f)]
-    if not named or not numeric:
-        return attempt(layouts)
-    return F.when(text.rlike(r"^\p{L}"), attempt(named)).otherwise(attempt(numeric))
-
-
-def _parse_timestamp(text: Column, layout: str) -> Column:
-    return F.try_to_timestamp(text, F.lit(layout)).cast("timestamp")
+    return F.when(text.rlike(r"^\p{L}"), first(named)).otherwise(first(numeric))
 
 
-def _parse_date(text: Column, layout: str) -> Column:
-    return F.try_to_date(text, layout)
+def _by_layout(text: Column, layout: str) -> Column:
+    return F.try_to_timestamp(text, F.lit(layout)).cast(T.TimestampType())
 
 
-def to_timestamp(cleaned: Column) -> Column:
-    return _first_parse(_single_spaced(cleaned), TIMESTAMP_FORMATS, _parse_timestamp)
+def _moment(text: Column, us_text: str, otherwise: Column) -> Column:
+    """Everyday numeric layouts by a plain cast, ``otherwise`` for the rest."""
+    iso_order = F.concat(
+        F.substring(text, 7, 4),
+        F.lit("-"),
+        F.substring(text, 1, 2),
+        F.lit("-"),
+        F.substring(text, 4, 2),
+        F.substring(text, 11, 9),
+    )
+    return (
+        F.when(text.rlike(ISO_TEXT), text.try_cast(T.TimestampType()))
+        .when(text.rlike(us_text), iso_order.try_cast(T.TimestampType()))
+        .otherwise(otherwise)
+    )
 
 
-def to_date(cleaned: Column) -> Column:
-    text = _single_spaced(cleaned)
+def _date(text: Column) -> Column:
     # The date-only layout of the timestamp list comes back as the first of the date list.
     with_time = tuple(f for f in TIMESTAMP_FORMATS if f not in DATE_FORMATS)
-    return F.coalesce(
-        _first_parse(text, with_time, _parse_timestamp).cast("date"),
-        _first_parse(text, DATE_FORMATS, _parse_date),
+    by_layout = F.coalesce(
+        _first_parse(text, with_time, _by_layout),
+        _first_parse(text, DATE_FORMATS, _by_layout),
     )
-
-
-def cast_text(cleaned: Column, target: T.DataType) -> Column:
-    """The cast for one contract type."""
-    if isinstance(target, T.StringType):
-        return cleaned
-    if isinstance(target, T.BooleanType):
-        return to_boolean(cleaned)
-    if isinstance(target, _WHOLE):
-        return to_integer(cleaned, target)
-    if isinstance(target, _FRACTIONAL):
-        return to_fractional(cleaned, target)
-    if isinstance(target, T.TimestampType):
-        return to_timestamp(cleaned)
-    if isinstance(target, T.DateType):
-        return to_date(cleaned)
-    return cleaned.try_cast(target)
+    return _moment(text, US_TEXT, by_layout).cast(T.DateType())

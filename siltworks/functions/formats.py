@@ -29,6 +29,16 @@ DATE_FORMATS = (
     "MMM d yyyy",
 )
 
+# Text in the numeric layouts above with a four-digit year. Spark's own cast reads the
+# first as it stands and the others once their date is put in ISO order, several times
+# faster than a layout parser and with the same result.
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}(:\d{2})?|T\d{2}:\d{2}:\d{2}(\.\d{1,3})?)?$"
+US_MOMENT_TEXT = r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}(:\d{2})?$"
+US_TEXT = r"^\d{2}/\d{2}/\d{4}( \d{2}:\d{2}(:\d{2})?)?$"
+
+# Whitespace other than single blanks.
+UNEVEN_SPACE = ("  ", "\t", "\n", "\x0b", "\f", "\r")
+
 # What each layout token can look like. Every entry admits at least all the text the
 # parser would take for it, so a value outside the shape can never parse.
 _TOKENS = {

@@ -74,14 +74,27 @@ def fill_defaults(typed: DataFrame, contract: Contract, run_time: datetime) -> D
     )
 
 
+def _cast_once(checked: DataFrame) -> DataFrame:
+    """Keeps a later filter on the flags above the casts.
+
+    Pushed below them it would compute every cast a second time. A filter does not
+    move past an observed count, and the count itself costs next to nothing.
+    """
+    return checked.observe("checked_rows", F.count(F.lit(1)).alias("n"))
+
+
+def failing_rows(checked: DataFrame) -> DataFrame:
+    return _cast_once(checked).filter(F.col(ROW_FAILED))
+
+
 def valid_rows(checked: DataFrame, contract: Contract) -> DataFrame:
-    return typed_columns(checked.filter(~F.col(ROW_FAILED)), contract)
+    return typed_columns(_cast_once(checked).filter(~F.col(ROW_FAILED)), contract)
 
 
 def quarantined_rows(checked: DataFrame) -> DataFrame:
     """Failing rows as landed (``check_contract(keep_raw=True)``) and what failed in them."""
     raw = [c for c in checked.columns if c.startswith(RAW_PREFIX)]
-    return checked.filter(F.col(ROW_FAILED)).select(
+    return failing_rows(checked).select(
         *[F.col(c).alias(c.removeprefix(RAW_PREFIX)) for c in raw],
         failed_columns(checked).alias("failed_columns"),
     )

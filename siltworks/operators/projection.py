@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.contracts import Contract
-from siltworks.functions import cast_text, clean
+from siltworks.functions import clean, normalise, parse, settle
 
 ROW_FAILED = "__row_failed"
 FAIL_SUFFIX = "__cast_fail"
@@ -54,13 +54,20 @@ def check_contract(source: DataFrame, contract: Contract, keep_raw: bool = False
     row where a required column is absent from the source. ``__row_failed`` is true
     where any flag is. ``keep_raw`` carries the landed text along as ``__raw_<column>``.
 
-    The three selects stay separate in the plan: Catalyst does not merge a projection
-    into the next when that would evaluate a cast twice.
+    Every cast step is a select of its own. They stay separate in the plan: Catalyst
+    does not merge a projection into the next when that would compute a value twice.
     """
     present = _matched(source, contract)
     checked = checked_columns(source, contract)
+    raw = [RAW_PREFIX + name for name in present if keep_raw]
     # Positional names sidestep duplicates and names that would need quoting.
     landed = source.toDF(*[f"c{i}" for i in range(len(source.columns))])
+    types = {f.name: f.dataType for f in contract.schema}
+
+    def step(df: DataFrame, function) -> DataFrame:
+        return df.select(
+            *[function(F.col(name), types[name]).alias(name) for name in present], *raw
+        )
 
     cleaned = landed.select(
         *[clean(F.col(f"c{at}")).alias(name) for name, at in present.items()],
@@ -70,22 +77,13 @@ def check_contract(source: DataFrame, contract: Contract, keep_raw: bool = False
             if keep_raw
         ],
     )
-    raw = [RAW_PREFIX + name for name in present if keep_raw]
-
-    typed = cleaned.select(
-        *[
-            (
-                cast_text(F.col(f.name), f.dataType)
-                if f.name in present
-                else F.lit(None).cast(f.dataType)
-            ).alias(f.name)
-            for f in contract.schema
-        ],
+    text = step(step(cleaned, normalise), settle)
+    typed = text.select(
         *[
-            F.col(name).isNotNull().alias(_had_text(name))
-            for name in checked
-            if name in present
+            (parse(F.col(c), t) if c in present else F.lit(None).cast(t)).alias(c)
+            for c, t in types.items()
         ],
+        *[F.col(c).isNotNull().alias(_had_text(c)) for c in checked if c in present],
         *raw,
     )
 

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from siltworks.queries import constraints, loads, runs, typing
+from siltworks.session import tune
 
 ALL = {**loads.QUERIES, **typing.QUERIES, **constraints.QUERIES, **runs.QUERIES}
 
 
+def _tuned(run):
+    @wraps(run)
+    def call(spark, sf_dir):
+        return run(tune(spark), sf_dir)
+
+    return call
+
+
 def queries() -> dict:
-    return {name: run for name, (run, _) in ALL.items()}
+    return {name: _tuned(run) for name, (run, _) in ALL.items()}
 
 
 def checks() -> dict[str, str]:

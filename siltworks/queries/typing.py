@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks.contracts import declared
 from siltworks.functions import clean, empty_to_null
+from siltworks.operators.constraints import failing_rows
 from siltworks.operators.projection import (
     ROW_FAILED,
     check_contract,
@@ -110,7 +111,7 @@ def missing_required(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_fail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = check_contract(dirty(spark, sf_dir, LINEITEM_DIRTY), LINEITEM)
-    return checked.filter(ROW_FAILED).select(*LINEITEM.schema.names)
+    return failing_rows(checked).select(*LINEITEM.schema.names)
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

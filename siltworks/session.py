@@ -14,6 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A contract of a dozen typed columns compiles to one method beyond the size the
+    # JVM still optimises. Above this limit Spark uses its split-up projections instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Two open files per task (valid and quarantined) spare a sort of every row.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -25,6 +30,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the same settings to a session that already runs."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder the session names.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import astuple, dataclass, replace
 from datetime import datetime
@@ -61,22 +62,35 @@ class Run:
         )
 
 
+def _folder(lake: Lake, schema: str) -> str:
+    return f"{lake.root.rstrip('/')}/{schema}/{AUDIT_TABLE}"
+
+
 def ensure_audit_log(spark: SparkSession, lake: Lake, schema: str) -> str:
     table = lake.table(schema, AUDIT_TABLE)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in AUDIT_SCHEMA)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet "
-        f"LOCATION '{lake.root.rstrip('/')}/{schema}/{AUDIT_TABLE}'"
+        f"OPTIONS (recursiveFileLookup 'true') LOCATION '{_folder(lake, schema)}'"
     )
     return table
 
 
 def append_audit(spark: SparkSession, lake: Lake, schema: str, rows: Iterable[AuditRow]) -> None:
+    """Add rows to the log.
+
+    Each append goes to a folder of its own below the log's: loads that end at the same
+    time, in one job or in several, would otherwise share one commit folder and remove
+    each other's files.
+    """
     table = ensure_audit_log(spark, lake, schema)
     frame = spark.createDataFrame([astuple(r) for r in rows], AUDIT_SCHEMA)
     # A handful of rows: one task and one small file per append.
-    frame.coalesce(1).write.mode("append").insertInto(table)
+    frame.coalesce(1).write.parquet(f"{_folder(lake, schema)}/append-{uuid.uuid4().hex}")
+    spark.catalog.refreshTable(table)
 
 
 def audit_log(spark: SparkSession, lake: Lake, schema: str) -> DataFrame:
-    return spark.table(ensure_audit_log(spark, lake, schema))
+    table = ensure_audit_log(spark, lake, schema)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)

@@ -57,7 +57,7 @@ def publish_contract(
 ) -> None:
     """Make ``location`` the rows of a contract table, creating or re-declaring it."""
     table = lake.table(schema, contract.name)
-    if spark.catalog.tableExists(table) and Contract.from_table(spark, table) == contract:
+    if spark.catalog.tableExists(table) and _declares(spark, table, contract):
         _point_at(spark, table, location)
         return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -85,6 +85,15 @@ def publish_frame(
     spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet LOCATION '{location}'")
 
 
+def _declares(spark: SparkSession, table: str, contract: Contract) -> bool:
+    known = Contract.from_table(spark, table)
+    same_references = set(known.foreign_keys) == set(contract.foreign_keys)
+    return same_references and known.schema == contract.schema and all(
+        getattr(known, part) == getattr(contract, part)
+        for part in ("defaults", "source_names", "cluster_by", "unique_keys")
+    )
+
+
 def _point_at(spark: SparkSession, table: str, location: str) -> None:
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     spark.catalog.refreshTable(table)

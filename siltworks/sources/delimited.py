@@ -118,10 +118,9 @@ def malformed_rows(scan: DataFrame) -> DataFrame:
 
 def malformed_census(scan: DataFrame) -> DataFrame:
     """Lines and malformed lines per file of a ``keep_corrupt`` scan."""
-    # Referring to a data column as well keeps the corrupt column legal to query.
+    # A query that needs only the corrupt column is refused, so a data column goes in too.
     first = next(c for c in scan.columns if c != CORRUPT)
+    malformed = F.when(F.col(CORRUPT).isNotNull(), F.coalesce(F.col(first), F.lit("")))
     return scan.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("n_malformed"),
-        F.count(F.col(first)).alias("n_first_column"),
+        F.count(F.lit(1)).alias("n_rows"), F.count(malformed).alias("n_malformed")
     )
