@@ -32,7 +32,8 @@ PARENTHESISED = r"^\((.*)\)$"
 TRUE_TEXT = ("1", "1.0", "true", "t", "y", "yes")
 FALSE_TEXT = ("0", "0.0", "false", "f", "n", "no")
 
-_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_WHOLE = tuple(_BITS)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 _NUMERIC = _WHOLE + _FRACTIONAL
 
@@ -104,8 +105,21 @@ def _boolean(text: Column) -> Column:
 
 
 def _integer(text: Column, target: T.DataType) -> Column:
+    """Range-checked by comparison: a try_cast that overflows throws and catches per row."""
     # The fraction is all zeros when the gate passes, so cutting it off is exact.
-    return F.when(text.rlike(INTEGER_TEXT), F.substring_index(text, ".", 1).try_cast(target))
+    whole = F.substring_index(text, ".", 1)
+    bound = 2 ** (_BITS[type(target)] - 1)
+
+    def in_range(value: Column) -> Column:
+        return F.when(value.between(F.lit(-bound), F.lit(bound - 1)), value.cast(target))
+
+    # Eighteen characters always fit a long; longer text may be zeros or too large.
+    return F.when(
+        text.rlike(INTEGER_TEXT),
+        F.when(F.length(whole) <= 18, in_range(whole.try_cast(T.LongType()))).otherwise(
+            in_range(whole.try_cast(T.DecimalType(38, 0)))
+        ),
+    )
 
 
 def _first_parse(text: Column, layouts: tuple[str, ...], attempt) -> Column:

@@ -29,12 +29,21 @@ DATE_FORMATS = (
     "MMM d yyyy",
 )
 
+# Two-digit fields in the ranges a strict parser takes.
+_MONTH = r"(0[1-9]|1[0-2])"
+_DAY = r"(0[1-9]|[12]\d|3[01])"
+_HOUR = r"([01]\d|2[0-3])"
+_SIXTY = r"[0-5]\d"
+
 # Text in the numeric layouts above with a four-digit year. Spark's own cast reads the
 # first as it stands and the others once their date is put in ISO order, several times
 # faster than a layout parser and with the same result.
-ISO_TEXT = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}(:\d{2})?|T\d{2}:\d{2}:\d{2}(\.\d{1,3})?)?$"
-US_MOMENT_TEXT = r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}(:\d{2})?$"
-US_TEXT = r"^\d{2}/\d{2}/\d{4}( \d{2}:\d{2}(:\d{2})?)?$"
+_CLOCK = rf"{_HOUR}:{_SIXTY}(:{_SIXTY})?"
+ISO_TEXT = (
+    rf"^\d{{4}}-{_MONTH}-{_DAY}( {_CLOCK}|T{_HOUR}:{_SIXTY}:{_SIXTY}(\.\d{{1,3}})?)?$"
+)
+US_MOMENT_TEXT = rf"^{_MONTH}/{_DAY}/\d{{4}} {_CLOCK}$"
+US_TEXT = rf"^{_MONTH}/{_DAY}/\d{{4}}( {_CLOCK})?$"
 
 # Whitespace other than single blanks.
 UNEVEN_SPACE = ("  ", "\t", "\n", "\x0b", "\f", "\r")
@@ -44,14 +53,14 @@ UNEVEN_SPACE = ("  ", "\t", "\n", "\x0b", "\f", "\r")
 _TOKENS = {
     "yyyy": r"[+-]?\d{4,}",
     "MMM": r"\p{L}+\.?",
-    "MM": r"\d{2}",
-    "dd": r"\d{2}",
-    "d": r"[+-]?\d+",
-    "HH": r"\d{2}",
-    "hh": r"\d{2}",
-    "h": r"[+-]?\d+",
-    "mm": r"\d{2}",
-    "ss": r"\d{2}",
+    "MM": _MONTH,
+    "dd": _DAY,
+    "d": r"0*([1-9]|[12]\d|3[01])",
+    "HH": _HOUR,
+    "hh": r"(0[1-9]|1[0-2])",
+    "h": r"0*([1-9]|1[0-2])",
+    "mm": _SIXTY,
+    "ss": _SIXTY,
     "SSS": r"\d+",
     "a": r"\D+",
 }

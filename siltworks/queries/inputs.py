@@ -14,6 +14,7 @@ from siltworks.queries.checks import columns_of
 from siltworks.session import scratch_dir
 from siltworks.sinks.lake import Lake
 from siltworks.sources.delimited import SEPARATOR
+from siltworks.sources.tables import spread
 
 LINEITEM_DIRTY = """
 select cast(l_orderkey as string) as l_orderkey, cast(l_linenumber as string) as l_linenumber,
@@ -237,7 +238,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def dirty(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = [t for t in TABLES if f"{{{t}}}" in sql]
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})
+    # One file with one row group stands for a landed table of many files.
+    return spark.sql(sql, **{t: spread(table(spark, sf_dir, t)) for t in used})
 
 
 def plain(sql: str) -> str:
