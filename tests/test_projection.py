@@ -1,0 +1,81 @@
+from decimal import Decimal
+
+import pytest
+
+from siltworks.contracts import Contract
+from siltworks.operators.projection import (
+    ROW_FAILED,
+    check_contract,
+    checked_columns,
+    failed_columns,
+    project_contract,
+)
+
+CONTRACT = Contract(
+    name="t",
+    columns="id BIGINT NOT NULL, name STRING NOT NULL, price DECIMAL(6,2), none_flag BOOLEAN, gone INT NOT NULL, soft DATE",
+    source_names={"none_flag": "NONE"},
+)
+
+
+def test_projection_matches_names_without_case_and_by_source_name(spark):
+    src = spark.createDataFrame([(" x ", "T", "7", "1.5", "!")], "NAME string, none string, Id string, PRICE string, extra string")
+    out = project_contract(src, CONTRACT)
+    assert out.columns == ["id", "name", "price", "none_flag", "gone", "soft"]
+    assert [f.dataType for f in out.schema] == [f.dataType for f in CONTRACT.schema]
+    assert tuple(out.first()) == (7, "x", Decimal("1.50"), True, None, None)
+
+
+def test_last_of_duplicate_columns_wins(spark):
+    src = spark.createDataFrame([("1", "2")], "a string, b string").toDF("id", "ID")
+    assert project_contract(src, Contract(name="t", columns="id INT")).first()[0] == 2
+
+
+def test_names_with_dots_and_blanks(spark):
+    src = spark.createDataFrame([("5",)], "a string").toDF("my.col x")
+    contract = Contract(name="t", columns="v INT", source_names={"v": "my.col x"})
+    assert project_contract(src, contract).first()[0] == 5
+
+
+def test_flags(spark):
+    src = spark.createDataFrame(
+        [("1", "a", "2.5", "y"), ("x", "", "", "?"), (None, None, " ", None)],
+        "id string, name string, price string, none string",
+    )
+    checked = check_contract(src, CONTRACT)
+    assert checked_columns(src, CONTRACT) == ["id", "price", "none_flag", "gone"]
+    rows = checked.select("id__cast_fail", "price__cast_fail", "none_flag__cast_fail", "gone__cast_fail", ROW_FAILED)
+    assert [tuple(r) for r in rows.collect()] == [
+        (False, False, False, True, True),
+        (True, False, True, True, True),
+        (False, False, False, True, True),
+    ]
+    names = checked.select(failed_columns(checked)).collect()
+    assert [r[0] for r in names] == [["gone"], ["id", "none_flag", "gone"], ["gone"]]
+
+
+def test_no_checked_columns(spark):
+    src = spark.createDataFrame([("a",)], "name string")
+    row = check_contract(src, Contract(name="t", columns="name STRING, other STRING")).first()
+    assert row[ROW_FAILED] is False
+
+
+def test_casting_canonical_output_again_changes_nothing(spark):
+    contract = Contract(name="t", columns="i INT, d DECIMAL(8,3), b BOOLEAN, s STRING, day DATE, at TIMESTAMP")
+    src = spark.createDataFrame(
+        [("(1,200)", "$1.2345", "Y", "  q ", "Jan  5 2024", "01/05/2024 10:00"), ("bad", "", "2", " ", "x", "y")],
+        "i string, d string, b string, s string, day string, at string",
+    )
+    once = project_contract(src, contract)
+    again = project_contract(once.select(*[once[c].cast("string") for c in once.columns]), contract)
+    assert [tuple(r) for r in once.collect()] == [tuple(r) for r in again.collect()]
+
+
+@pytest.mark.parametrize("conf", ["8000", "65535"])
+def test_casts_are_evaluated_once(spark, conf):
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", conf)
+    src = spark.range(10).selectExpr("cast(id as string) as at")
+    checked = check_contract(src, Contract(name="t", columns="at TIMESTAMP"))
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    # One chain of layout attempts: the flags read the result instead of casting again.
+    assert plan.count("MM/dd/yyyy HH:mm:ss") == 1

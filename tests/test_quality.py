@@ -1,0 +1,70 @@
+import pytest
+
+from siltworks.contracts import Contract
+from siltworks.operators.projection import check_contract
+from siltworks.operators.quality import (
+    DqReport,
+    Gate,
+    GateRefused,
+    dq_by_column,
+    dq_gate,
+    dq_metrics,
+    dq_top_columns,
+)
+
+CONTRACT = Contract(name="t", columns="a INT, b DECIMAL(4,2), c BOOLEAN, d STRING")
+
+
+def frame(spark, rows):
+    return check_contract(spark.createDataFrame(rows, "a string, b string, c string, d string"), CONTRACT)
+
+
+def test_metrics_of_nothing(spark):
+    row = dq_metrics(frame(spark, [])).first().asDict()
+    assert row["total_rows"] == 0 and row["cast_error_rows"] == 0 and row["cast_error_pct"] == 0.0
+
+
+def test_metrics_bounds(spark):
+    row = dq_metrics(frame(spark, [("x", "x", "1", ""), ("1", "x", "", ""), ("1", "1", "n", "")])).first().asDict()
+    per_column = [row["a__cast_fail"], row["b__cast_fail"], row["c__cast_fail"]]
+    assert per_column == [1, 2, 0] and row["total_rows"] == 3 and row["cast_error_rows"] == 2
+    assert max(per_column) <= row["cast_error_rows"] <= row["total_rows"]
+    assert row["cast_error_pct"] == pytest.approx(200 / 3)
+
+
+def test_by_column_and_top_keep_contract_order_on_ties(spark):
+    checked = frame(spark, [("x", "x", "z", ""), ("1", "x", "z", "")])
+    assert [tuple(r) for r in dq_by_column(checked).collect()] == [(0, "a", 1), (1, "b", 2), (2, "c", 2)]
+    assert [r["column_name"] for r in dq_top_columns(checked, 2).collect()] == ["b", "c"]
+
+
+@pytest.mark.parametrize(
+    "gate, rows, total, refused",
+    [
+        (Gate(False, 1, 1.0), 50, 100, False),
+        (Gate(True), 0, 100, False),
+        (Gate(True), 1, 100, True),
+        (Gate(True, max_rows=5), 5, 100, False),
+        (Gate(True, max_rows=5), 6, 100, True),
+        (Gate(True, max_pct=10.0), 10, 100, False),
+        (Gate(True, max_pct=10.0), 11, 100, True),
+        (Gate(True, max_rows=500, max_pct=10.0), 11, 100, True),
+        (Gate(True, max_rows=5, max_pct=99.0), 6, 100, True),
+        (Gate(True), 0, 0, False),
+    ],
+)
+def test_gate_truth_table(spark, gate, rows, total, refused):
+    report = DqReport(total, rows, {})
+    assert gate.refuses(rows, report.cast_error_pct) is refused
+    data = [("x" if i < rows else "1", "", "", "") for i in range(total)]
+    verdict = dq_gate(frame(spark, data), {"g": gate}).first()
+    assert verdict["refused"] is refused
+
+
+def test_report_message_and_enforce():
+    report = DqReport.of({"total_rows": 4, "cast_error_rows": 2, "a__cast_fail": 1, "b__cast_fail": 2, "c__cast_fail": 0})
+    assert report.column_failures == {"a": 1, "b": 2}
+    assert report.top_columns() == [("b", 2), ("a", 1)]
+    with pytest.raises(GateRefused, match="2 of 4 rows"):
+        report.enforce(Gate(True), "t")
+    report.enforce(Gate(False), "t")
