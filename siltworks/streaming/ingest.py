@@ -20,7 +20,7 @@ def read_new_files(
     contract: Contract,
     *,
     archive_to: str | None = None,
-    max_bytes_per_trigger: str | None = None,
+    max_bytes_per_trigger: int | None = None,
     ingest_time: datetime | None = None,
 ) -> DataFrame:
     """A stream of the lines of files arriving in ``folder``, with provenance.
@@ -40,7 +40,7 @@ def read_new_files(
     if archive_to:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
     if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return add_provenance(reader.csv(folder), ingest_time)
 
 

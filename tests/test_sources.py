@@ -1,0 +1,106 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import types as T
+
+from siltworks.sources.delimited import (
+    add_provenance,
+    malformed_census,
+    malformed_rows,
+    resolve_source_file,
+    scan_delimited,
+    source_file_census,
+    source_files,
+)
+from siltworks.sources.ledger import new_files
+from siltworks.sources.tables import spread
+
+def text(*names):
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+SCHEMA = text("OID", "NAME", "PRICE")
+LINES = [
+    "OID^|~NAME^|~PRICE", '1^|~"q^|~x"^|~3', "2^|~ab", "3^|~x^|~4^|~extra", "", "4^|~ sp ^|~", "5^|~é^|~9",
+]
+
+
+@pytest.fixture
+def folder(tmp_path):
+    (tmp_path / "items.TXT").write_text("\n".join(LINES) + "\n", encoding="utf-8")
+    (tmp_path / "notes.csv").write_text("not,an,extract\n")
+    return tmp_path
+
+
+def test_scan(spark, folder):
+    rows = [tuple(r) for r in scan_delimited(spark, str(folder), SCHEMA).collect()]
+    assert rows == [
+        ("1", "q^|~x", "3"), ("2", "ab", None), ("3", "x", "4"), ("4", " sp ", None), ("5", "é", "9"),
+    ]
+
+
+def test_scan_binds_by_position_unless_told_to_match_the_header(spark, folder):
+    other = text("A", "B", "C")
+    assert scan_delimited(spark, f"dbfs:{folder}", other).first()["B"] == "q^|~x"
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_delimited(spark, str(folder), other, match_header=True).collect()
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('OID^|~NAME^|~PRICE\n5^|~"multi\nline"^|~9\n')
+    assert scan_delimited(spark, str(tmp_path), SCHEMA).count() == 2
+    row = scan_delimited(spark, str(tmp_path), SCHEMA, multi_line=True).first()
+    assert tuple(row) == ("5", "multi\nline", "9")
+
+
+def test_malformed(spark, folder):
+    scan = scan_delimited(spark, str(folder), SCHEMA, keep_corrupt=True)
+    assert [r["_corrupt_record"] for r in malformed_rows(scan).collect()] == ["2^|~ab", "3^|~x^|~4^|~extra"]
+    row = malformed_census(scan).first()
+    assert row["file_path"].endswith("items.TXT") and (row["n_rows"], row["n_malformed"]) == (5, 2)
+    assert malformed_census(scan).select("n_malformed").first()[0] == 2
+
+
+def test_provenance(spark, folder):
+    now = datetime(2024, 1, 31)
+    row = add_provenance(scan_delimited(spark, str(folder), SCHEMA), now).first()
+    assert (row["ingest_ts"], row["input_file_name"]) == (now, "items.TXT")
+    assert add_provenance(scan_delimited(spark, str(folder), SCHEMA)).first()["ingest_ts"] is not None
+
+
+def test_file_resolution(spark, folder, tmp_path_factory):
+    assert resolve_source_file(spark, str(folder)).endswith("/items.TXT")
+    (folder / "more.txt").write_text("OID\n")
+    with pytest.raises(ValueError, match="expected one"):
+        resolve_source_file(spark, str(folder))
+    with pytest.raises(FileNotFoundError):
+        resolve_source_file(spark, str(tmp_path_factory.mktemp("empty")))
+
+
+def test_census(spark, tmp_path):
+    for name, files in {"one": ["a.txt"], "two": ["a.txt", "b.TXT"], "none": ["a.csv"]}.items():
+        (tmp_path / name).mkdir()
+        for f in files:
+            (tmp_path / name / f).write_text("x\n")
+    rows = source_file_census(spark, str(tmp_path), ["one", "two", "none", "absent"]).collect()
+    assert {r["table_name"]: (r["n_files"], r["n_bytes"], r["verdict"]) for r in rows} == {
+        "one": (1, 2, "single"), "two": (2, 4, "several"), "none": (0, 0, "missing"), "absent": (0, 0, "missing"),
+    }
+
+
+def test_ledger(spark, tmp_path):
+    for name in ("a/1.txt", "a/2.txt", "b/3.txt", "b/4.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("x\n")
+    log = spark.createDataFrame(
+        [(f"{tmp_path}/a", 1), (f"file:{tmp_path}/b/3.txt", 1), (f"{tmp_path}/b/4.txt", 0), (None, 1)],
+        "source_file_path string, success int",
+    )
+    left = new_files(source_files(spark, str(tmp_path)), log).collect()
+    assert [r["path"].rsplit("/", 2)[-2:] for r in left] == [["b", "4.txt"]]
+
+
+def test_spread_leaves_wide_scans_alone(spark):
+    wide = spark.range(0, 100, 1, 64)
+    assert spread(wide) is wide
+    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
