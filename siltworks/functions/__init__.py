@@ -1,3 +1,3 @@
-from siltworks.functions.casts import cast_text, clean, empty_to_null, normalise, parse, settle
+from siltworks.functions.casts import cast_text, clean, empty_to_null, parse, prepare
 
-__all__ = ["cast_text", "clean", "empty_to_null", "normalise", "parse", "settle"]
+__all__ = ["cast_text", "clean", "empty_to_null", "parse", "prepare"]

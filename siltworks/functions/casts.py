@@ -46,19 +46,25 @@ def empty_to_null(col: Column) -> Column:
 
 def clean(col: Column) -> Column:
     """Trimmed text, NULL when blank. Casts expect their input in this form."""
-    return F.nullif(F.trim(col.cast("string")), F.lit(""))
+    text = F.trim(col.cast("string"))
+    return F.when(text != "", text)
 
 
-# A cast runs in three steps, each a Column of the one before: ``normalise`` the text,
-# ``settle`` its sign, ``parse`` it. Each step reads its input more than once, and only
-# a value that is a column of its own is computed once for all readers. A projection
-# over many columns therefore makes one select per step; ``cast_text`` nests them.
+# A cast runs in two steps, each reading its input more than once. Only a value that is
+# a column of its own is computed once for all readers, so a projection over many
+# columns makes one select per step; ``cast_text`` nests them.
 
 
-def normalise(cleaned: Column, target: T.DataType) -> Column:
-    """Text without what the target type ignores: separators, case, repeated spaces."""
+def prepare(cleaned: Column, target: T.DataType) -> Column:
+    """Text in the one spelling ``parse`` knows.
+
+    Numbers lose separators and dollar signs, and parenthesised ones become negative;
+    booleans lose case; dates and times have single blanks.
+    """
     if isinstance(target, _NUMERIC):
-        return _without(_without(cleaned, ","), "$")
+        bare = _without(_without(cleaned, ","), "$")
+        negative = F.regexp_replace(bare, PARENTHESISED, "-$1")
+        return F.trim(F.when(bare.startswith("("), negative).otherwise(bare))
     if isinstance(target, T.BooleanType):
         return F.lower(cleaned)
     if isinstance(target, (T.TimestampType, T.DateType)):
@@ -71,14 +77,6 @@ def _without(text: Column, mark: str) -> Column:
     return F.replace(text, F.lit(mark), F.lit(""))
 
 
-def settle(text: Column, target: T.DataType) -> Column:
-    """Parenthesised numbers are negative ones."""
-    if not isinstance(target, _NUMERIC):
-        return text
-    negative = F.regexp_replace(text, PARENTHESISED, "-$1")
-    return F.trim(F.when(text.startswith("("), negative).otherwise(text))
-
-
 def parse(text: Column, target: T.DataType) -> Column:
     if isinstance(target, T.StringType):
         return text
@@ -97,7 +95,7 @@ def parse(text: Column, target: T.DataType) -> Column:
 
 def cast_text(cleaned: Column, target: T.DataType) -> Column:
     """The whole cast of one ``clean`` column."""
-    return parse(settle(normalise(cleaned, target), target), target)
+    return parse(prepare(cleaned, target), target)
 
 
 def _boolean(text: Column) -> Column:
@@ -114,9 +112,10 @@ def _integer(text: Column, target: T.DataType) -> Column:
         return F.when(value.between(F.lit(-bound), F.lit(bound - 1)), value.cast(target))
 
     # Eighteen characters always fit a long; longer text may be zeros or too large.
+    short = whole.try_cast(T.LongType())
     return F.when(
         text.rlike(INTEGER_TEXT),
-        F.when(F.length(whole) <= 18, in_range(whole.try_cast(T.LongType()))).otherwise(
+        F.when(F.length(text) <= 18, short if bound == 2**63 else in_range(short)).otherwise(
             in_range(whole.try_cast(T.DecimalType(38, 0)))
         ),
     )

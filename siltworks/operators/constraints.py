@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -80,7 +81,7 @@ def _cast_once(checked: DataFrame) -> DataFrame:
     Pushed below them it would compute every cast a second time. A filter does not
     move past an observed count, and the count itself costs next to nothing.
     """
-    return checked.observe("checked_rows", F.count(F.lit(1)).alias("n"))
+    return checked.observe(f"rows_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n"))
 
 
 def failing_rows(checked: DataFrame) -> DataFrame:

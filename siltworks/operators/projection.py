@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.contracts import Contract
-from siltworks.functions import clean, normalise, parse, settle
+from siltworks.functions import clean, parse, prepare
 
 ROW_FAILED = "__row_failed"
 FAIL_SUFFIX = "__cast_fail"
@@ -64,11 +64,6 @@ def check_contract(source: DataFrame, contract: Contract, keep_raw: bool = False
     landed = source.toDF(*[f"c{i}" for i in range(len(source.columns))])
     types = {f.name: f.dataType for f in contract.schema}
 
-    def step(df: DataFrame, function) -> DataFrame:
-        return df.select(
-            *[function(F.col(name), types[name]).alias(name) for name in present], *raw
-        )
-
     cleaned = landed.select(
         *[clean(F.col(f"c{at}")).alias(name) for name, at in present.items()],
         *[
@@ -77,8 +72,10 @@ def check_contract(source: DataFrame, contract: Contract, keep_raw: bool = False
             if keep_raw
         ],
     )
-    text = step(step(cleaned, normalise), settle)
-    typed = text.select(
+    prepared = cleaned.select(
+        *[prepare(F.col(c), types[c]).alias(c) for c in present], *raw
+    )
+    typed = prepared.select(
         *[
             (parse(F.col(c), t) if c in present else F.lit(None).cast(t)).alias(c)
             for c, t in types.items()
@@ -92,13 +89,13 @@ def check_contract(source: DataFrame, contract: Contract, keep_raw: bool = False
             return F.lit(True)
         return F.col(_had_text(name)) & F.col(name).isNull()
 
-    flagged = typed.select(
+    any_failed = reduce(or_, [failed(name) for name in checked], F.lit(False))
+    return typed.select(
         *contract.schema.names,
         *[failed(name).alias(fail_flag(name)) for name in checked],
         *raw,
+        any_failed.alias(ROW_FAILED),
     )
-    any_failed = reduce(or_, [F.col(fail_flag(n)) for n in checked], F.lit(False))
-    return flagged.withColumn(ROW_FAILED, any_failed)
 
 
 def _had_text(name: str) -> str:

@@ -29,17 +29,13 @@ from siltworks.sources.tables import tables_to_process
 SPLIT_COLUMN = "dq_failed"
 
 
-def write_checked(
-    checked: DataFrame, contract: Contract, location: str, *, cluster: bool = False
-) -> DqReport:
+def write_checked(checked: DataFrame, contract: Contract, location: str) -> DqReport:
     """Write the typed rows and measure them in the same pass.
 
-    The metrics are observed in the stage that writes, after any shuffle. Spark counts
-    a result task's metrics once however often it is retried, so they are exact, and
-    the source is scanned and cast once instead of once for metrics and once for rows.
+    The metrics are observed in the stage that writes. Spark counts a result task's
+    metrics once however often it is retried, so they are exact, and the source is
+    scanned and cast once instead of once for metrics and once for rows.
     """
-    if cluster and contract.cluster_by:
-        checked = clustered(checked, contract.cluster_by)
     measured = Observation()
     typed_columns(checked.observe(measured, *metric_columns(checked)), contract).write.parquet(
         location
@@ -64,6 +60,19 @@ def write_quarantined(
     )
 
 
+def write_clustered(
+    spark: SparkSession, contract: Contract, staged: str, location: str
+) -> None:
+    """Order staged rows by the contract's clustering keys.
+
+    Works from the staged typed files, not from the text: finding the key ranges is a
+    pass over the input of its own, and tasks lost during the shuffle start again from
+    here. A refused load never gets this far.
+    """
+    rows = spark.read.schema(contract.schema).parquet(staged)
+    clustered(rows, contract.cluster_by).write.parquet(location)
+
+
 def promote_silver(
     spark: SparkSession,
     lake: Lake,
@@ -94,13 +103,13 @@ def promote_silver(
             checked = fill_defaults(checked, contract, started)
         location = lake.new_location(lake.silver, contract.name)
         if quarantine:
-            if cluster:
-                checked = clustered(checked, contract.cluster_by)
             location, failing, report = write_quarantined(checked, contract, location)
         else:
-            failing = None
-            report = write_checked(checked, contract, location, cluster=cluster)
+            failing, report = None, write_checked(checked, contract, location)
         report.enforce(gate, contract.name)
+        if cluster and contract.cluster_by:
+            staged, location = location, lake.new_location(lake.silver, contract.name)
+            write_clustered(spark, contract, staged, location)
         if failing:
             _publish_quarantine(spark, lake, contract, failing)
         publish_contract(spark, lake, lake.silver, contract, location)
@@ -153,11 +162,15 @@ def promote_all(
     return run_tables(spark, tables_to_process(spark, lake, requested), promote, parallel=parallel)
 
 
-def declare_silver(spark: SparkSession, lake: Lake, registry: Registry) -> list[str]:
-    """Create every contract's Silver table, empty, where it does not exist yet."""
+def declare_silver(
+    spark: SparkSession, lake: Lake, registry: Registry, *, replace: bool = False
+) -> list[str]:
+    """Create every contract's Silver table, empty; ``replace`` also empties existing ones."""
     lake.create_schemas(spark)
     for contract in registry:
         table = lake.table(lake.silver, contract.name)
+        if replace:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(
             contract.create_table_sql(table, lake.new_location(lake.silver, contract.name))
         )

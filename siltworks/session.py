@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Scan and write are one task here, so the split decides the size of written files.
+    # Inputs smaller than this per core are still spread over all cores.
+    "spark.sql.files.maxPartitionBytes": "512m",
     # A contract of a dozen typed columns compiles to one method beyond the size the
     # JVM still optimises. Above this limit Spark uses its split-up projections instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
