@@ -3,11 +3,13 @@
 The narrow tables are stated here. The wide ones (bpa_header, catalog_832,
 contracts, adv_product, item_xref, product_file) come from where an installation
 already declares them: a folder of contract files (``read_contracts``) or the
-catalog itself (``Contract.from_table``).
+catalog itself (``catalog_contracts``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
 from siltworks.contracts.model import Contract, ForeignKey, Registry
@@ -169,3 +171,8 @@ def read_contracts(spark: SparkSession, folder: str) -> Registry:
     # Contract files are configuration: a handful of small texts, read on the driver.
     rows = spark.read.option("wholetext", "true").text(folder, pathGlobFilter="*.json").collect()
     return Registry(Contract.from_json(r["value"]) for r in rows)
+
+
+def catalog_contracts(spark: SparkSession, schema: str, names: Iterable[str]) -> Registry:
+    """Contracts of tables that already exist in a catalog schema."""
+    return Registry(Contract.from_table(spark, f"`{schema}`.`{name}`") for name in names)

@@ -46,8 +46,7 @@ def empty_to_null(col: Column) -> Column:
 
 def clean(col: Column) -> Column:
     """Trimmed text, NULL when blank. Casts expect their input in this form."""
-    text = F.trim(col.cast("string"))
-    return F.when(text != "", text)
+    return F.nullif(F.trim(col.cast("string")), F.lit(""))
 
 
 # A cast runs in two steps, each reading its input more than once. Only a value that is
@@ -63,8 +62,8 @@ def prepare(cleaned: Column, target: T.DataType) -> Column:
     """
     if isinstance(target, _NUMERIC):
         bare = _without(_without(cleaned, ","), "$")
-        negative = F.regexp_replace(bare, PARENTHESISED, "-$1")
-        return F.trim(F.when(bare.startswith("("), negative).otherwise(bare))
+        signed = F.regexp_replace(bare, PARENTHESISED, "-$1")
+        return F.trim(F.when(cleaned.contains("("), signed).otherwise(bare))
     if isinstance(target, T.BooleanType):
         return F.lower(cleaned)
     if isinstance(target, (T.TimestampType, T.DateType)):

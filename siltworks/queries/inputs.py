@@ -159,7 +159,7 @@ FEEDS = {
         "zone": "case c_nationkey when 7 then '100' else cast(c_nationkey as string) end",
         "mod_date": "case c_nationkey % 3 when 0 then 'Jan  5 2024 12:00:00:000AM' when 1 then '2024-01-05' else '1/5/2024 10:00' end"}),
     "gsin_hide_remove": ("events", {
-        "gsin": "cast(event_id as string) || '.00'", "status": "substr(event_type,1,1)",
+        "gsin": "cast(event_id as string) || '.00'", "status": "event_type",
         "date_requested": "substr(cast(ts as string),1,19)", "reason": "props",
         "requested_by": "cast(user_id as string)"}),
     "gsin_hide_remove_hist": ("events", {
@@ -211,7 +211,7 @@ FEEDS = {
         "date_created": "''", "display_flag": "case o_custkey % 5 when 0 then '' else '1' end"}),
     "item_xref_attributes": ("pages", {
         "contract_num": "cast(page_id as string)", "item_num": "'item'", "url_508": "url",
-        "unid": "substr(url,1,5)", "eula_ind": "case page_id % 3 when 0 then 'T' when 1 then 'off' else '' end"}),
+        "unid": "url", "eula_ind": "case page_id % 3 when 0 then 'T' when 1 then 'off' else '' end"}),
 }
 
 

@@ -20,6 +20,9 @@ SETTINGS = {
     # A contract of a dozen typed columns compiles to one method beyond the size the
     # JVM still optimises. Above this limit Spark uses its split-up projections instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Timestamps as INT96 carry no min/max, so files could not be skipped on them.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.parquet.compression.codec": "zstd",
     # Two open files per task (valid and quarantined) spare a sort of every row.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
 }

@@ -1,6 +1,13 @@
 import pytest
 
-from siltworks.contracts import Contract, ForeignKey, Registry, declared, read_contracts
+from siltworks.contracts import (
+    Contract,
+    ForeignKey,
+    Registry,
+    catalog_contracts,
+    declared,
+    read_contracts,
+)
 from siltworks.sinks.lake import _declares
 
 
@@ -65,6 +72,9 @@ def test_catalog_round_trip(spark, tmp_path):
         spark.sql(c.create_table_sql(table, f"{tmp_path}/{c.name}"))
         assert _declares(spark, table, c), c.name
         assert not _declares(spark, table, Contract(name=c.name, columns="x INT"))
+    found = catalog_contracts(spark, "roundtrip", ["renamed", "sin"])
+    assert found.names() == ["renamed", "sin"]
+    assert found.lookup("renamed").source_schema.names == ["NONE", "NOTE"]
 
 
 def test_registry_sorts():
