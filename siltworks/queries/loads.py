@@ -318,9 +318,11 @@ def contract_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared tables made from their DDL; SQL inserts rely on the column defaults."""
     lake = scratch_lake(spark, "ddl")
     declare_silver(spark, lake, declared())
-    table(spark, sf_dir, "orders").createOrReplaceTempView("siltworks_orders")
     target = lake.table(lake.silver, "suspend_contract")
-    spark.sql(f"INSERT INTO {target} (contract_num) SELECT 'GS-' || o_orderkey FROM siltworks_orders")
+    spark.sql(
+        f"INSERT INTO {target} (contract_num) SELECT 'GS-' || o_orderkey FROM {{orders}}",
+        orders=table(spark, sf_dir, "orders"),
+    )
     result = stored(spark, lake, lake.silver, "suspend_contract")
     lake.drop_schemas(spark)
     return result

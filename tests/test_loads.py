@@ -196,6 +196,7 @@ def test_all_tables(spark, lake, tmp_path):
     audit_log(spark, lake, lake.silver)
     spark.sql(f"CREATE TABLE {lake.table(lake.silver, 'items_dq_quarantine')} (x INT) USING parquet")
     spark.sql(f"CREATE TABLE {lake.table(lake.silver, 'not_landed')} (x INT) USING parquet")
+    spark.range(1).createOrReplaceTempView("only_a_view")
     assert tables_to_process(spark, lake) == ["items", "other"]
     assert tables_to_process(spark, lake, " ITEMS ") == ["items"]
     with pytest.raises(ValueError):
