@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, connect
+from siltworks.queries import registry
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -12,10 +13,10 @@ def con():
 
 
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.checks())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_equals_its_check(spark, con, name):
     assert compare(spark, con, name, SMALL) is None
 
