@@ -32,7 +32,7 @@ from siltworks.llm.tokens import encode_documents, encoder, vocabulary
 
 END_ID = 0
 #: Ids after which a new file begins. A longer document has a file of its own.
-FILE_IDS = 4 << 20
+FILE_IDS = 1 << 20
 SAMPLE = 256
 
 _HEADER = struct.Struct("<4sBQQQq")  # mark, bytes per id, ids, documents, documents without doc_id, least doc_id
