@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltworks.llm.shared import documents, shared_path
+from siltworks.llm.shared import documents, save, shared_path
 from siltworks.llm.tokens import encode_documents, encoder, vocabulary
 
 END_ID = 0
@@ -184,7 +184,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, path: str | None = N
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(work, "worker int, shard int, n_ids long, payload binary").write.parquet(folder)
+    save(ordered.mapInArrow(work, "worker int, shard int, n_ids long, payload binary"), folder)
     return folder
 
 

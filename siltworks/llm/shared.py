@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Frees the shuffle files of a write when it is done, instead of when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -21,10 +23,21 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/siltworks-llm/{label}-{uuid.uuid4().hex}"
 
 
+def save(df: DataFrame, path: str) -> None:
+    """Write a table once. A frame that shares its shuffles with others must not be given here."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before) if before is not None else conf.unset(CLEANUP)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows, read from a table of their own: lineage ends here and nothing is computed twice."""
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    save(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
