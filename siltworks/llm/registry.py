@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siltworks.llm import elias_fano, harmonic_packing, length_histogram, prefix_free
+from siltworks.llm import elias_fano, harmonic_packing, length_histogram, lsh_forest, prefix_free
 
-MODULES = [harmonic_packing, length_histogram, elias_fano, prefix_free]
+MODULES = [harmonic_packing, length_histogram, lsh_forest, elias_fano, prefix_free]
 ALL = {name: found for module in MODULES for name, found in module.QUERIES.items()}
 
 
