@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
-from siltworks.llm import elias_fano, harmonic_packing, length_histogram, lsh_forest, prefix_free
+from siltworks.llm import (
+    branch_bound,
+    elias_fano,
+    empirical_bayes,
+    extendible,
+    harmonic_packing,
+    length_histogram,
+    lsh_forest,
+    prefix_free,
+    weak_supervision,
+)
 
-MODULES = [harmonic_packing, length_histogram, lsh_forest, elias_fano, prefix_free]
+MODULES = [
+    harmonic_packing,
+    length_histogram,
+    weak_supervision,
+    empirical_bayes,
+    lsh_forest,
+    branch_bound,
+    extendible,
+    elias_fano,
+    prefix_free,
+]
 ALL = {name: found for module in MODULES for name, found in module.QUERIES.items()}
 
 

@@ -1,0 +1,116 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql.types import ArrayType, FloatType, LongType, StringType, StructField, StructType
+
+import check_queries as cq
+from siltworks.llm import branch_bound as bb
+from siltworks.llm import extendible as ex
+from siltworks.llm.registry import checks
+
+SMALL = "/root/testdata/sf0.001"
+VECTORS = StructType([StructField("vec_id", LongType()), StructField("embedding", ArrayType(FloatType())), StructField("score", StringType())])
+DOCS = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("h", StringType()), StructField("shard", StringType())])
+
+
+@pytest.mark.parametrize("name", sorted(checks()))
+def test_query_equals_its_sql(spark, name):
+    assert cq.compare(spark, cq.connect(SMALL), name, SMALL) is None
+
+
+def brute(rows, every=100, k=10):
+    ok = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for i, q in ok:
+        if i % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), j) for j, v in ok if j != i)[:k]
+            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored)]
+    return sorted(out)
+
+
+def vectors(seed, n, width, scale=1.0):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        v = [rng.gauss(0, scale) for _ in range(width)]
+        rows.append((i, rows[-1][1] if i % 9 == 1 else v, "x"))
+    rows += [(None, [1.0] * width, "x"), (5000, None, "x"), (5100, [None] * width, "x"), (5200, [math.nan] * width, "x"), (5300, [math.inf] * width, "x"), (5400, [], "x"), (5500, [1.0], "x")]
+    return rows
+
+
+@pytest.mark.parametrize(("n", "width", "scale"), [(900, 40, 1.0), (300, 3, 0.001), (250, 20, 1e12), (7, 5, 1.0)])
+def test_top_k_equals_all_products(spark, n, width, scale):
+    rows = vectors(n, n, width, scale)
+    whole = bb.whole_vectors(spark.createDataFrame(rows, VECTORS).repartition(5))
+    got = sorted(tuple(r) for r in bb.top_k(whole, whole.where("vec_id % 100 = 0"), max_bytes=width * 8 * 3).collect())
+    want = brute(rows)
+    if scale < 1e6:
+        assert got == want
+    else:  # scores are held at 64 bits
+        held = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+        assert [(q, r, s) for q, r, _, s in got] == [(q, r, held(s)) for q, r, _, s in want]
+
+
+def test_bounds_drop_candidates_but_no_result():
+    rng = np.random.default_rng(1)
+    rows = (rng.normal(size=(4000, 64)) * np.linspace(3, 0.1, 64) * 500).astype(np.int64)
+    ids, queries = np.arange(4000), rows[:8]
+    best = bb.Best(8, 10)
+    for low in range(0, 4000, 1000):
+        bb.search(best, ids[:8], queries, ids[low : low + 1000], rows[low : low + 1000])
+    for q in range(8):
+        scores = rows @ queries[q]
+        order = np.lexsort((ids, -scores))
+        assert best.ids[q].tolist() == [i for i in order if i != q][:10]
+
+
+def test_no_vectors(spark):
+    whole = bb.whole_vectors(spark.createDataFrame([], VECTORS))
+    assert bb.top_k(whole, whole).count() == 0
+
+
+def documents(spark):
+    rng = random.Random(3)
+    rows = [(i, "x" * int(rng.paretovariate(0.9) * 10), "a", "b") for i in range(600)]
+    rows += [(None, "null id", "a", "b"), (None, "another", "a", "b"), (7, None, "a", "b"), (7, "", "a", "b"), (900, "y" * 5000, "a", "b")]
+    rows += [(1000, "same row " * 5, "a", "b")] * 60
+    return spark.createDataFrame(rows, DOCS).repartition(4), rows
+
+
+@pytest.mark.parametrize("limit", [1, 200, 2000, 10**9])
+@pytest.mark.parametrize("ahead", [1, 6])
+def test_shards_fit_and_split_only_when_they_must(spark, limit, ahead):
+    if limit == 1 and ahead == 1:
+        pytest.skip("as many rounds as bits")
+    docs, rows = documents(spark)
+    got = [r.asDict() for r in ex.shards(docs, limit, ahead, carry=True).collect()]
+    assert len(got) == len(rows) and all(r["row"]["h"] == "a" for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r["shard"], []).append(r)
+    assert sorted(by) == list(range(len(by)))
+    for members in by.values():
+        size = sum(r["n_bytes"] for r in members)
+        assert size == members[0]["shard_bytes"] and len(members) == members[0]["shard_docs"]
+        assert size <= limit or len(members) == 1
+    hashed = docs.select(ex.hash_bits(docs["doc_id"], docs["text"]).alias("h"), docs["text"]).collect()
+    sizes = [(r["h"], len((r["text"] or "").encode())) for r in hashed]
+    for h, _ in sizes[::25]:
+        depth = 0
+        while depth < 60:
+            inside = [n for x, n in sizes if x >> (60 - depth) == h >> (60 - depth)]
+            if sum(inside) <= limit or len(inside) == 1:
+                break
+            depth += 1
+        mine = [r for r in got if r["n_bytes"] in {n for x, n in sizes if x == h} and r["depth"] == depth]
+        assert mine
+
+
+def test_written_shards_hold_all_rows(spark, tmp_path):
+    docs, rows = documents(spark)
+    ex.write_shards(docs, str(tmp_path / "shards"), 2000)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.count() == len(rows) and set(docs.columns) < set(back.columns)
+    assert ex.shards(docs.where("false")).count() == 0
