@@ -286,7 +286,8 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, D
     texts = written(texts, "texts")
 
     phrases = written(find_phrases(texts, length), "phrases")
-    often = phrases.groupBy("phrase").agg(F.count("*").alias("n")).where("n > 1").select("phrase")
+    # Counts are tables of their own: beside a plain shuffle of them, Spark can split a hot phrase.
+    often = written(phrases.groupBy("phrase").agg(F.count("*").alias("n")).where("n > 1").select("phrase"), "often")
     repeated = phrases.join(often, "phrase", "leftsemi").groupBy("k").agg(F.collect_set("x").alias("xs"))
     runs = written(find_runs(texts, repeated, length), "runs")
 
@@ -294,12 +295,12 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, D
     covers = written(covers, "covers")
     decided = covers.where("copies > 1").select("cover", "inner")
     whole = runs.where(~F.col("settled")).join(decided, ["cover", "inner"], "leftsemi").select("k", "at", "n")
-    several = covers.groupBy("inner").agg(F.count("*").alias("n")).where("n > 1").select("inner")
+    several = written(covers.groupBy("inner").agg(F.count("*").alias("n")).where("n > 1").select("inner"), "several")
     opened = covers.join(several, "inner", "leftsemi").select(
         "one.k", "one.at", "one.n", ((F.col("copies") == 1) & ~F.col("one.settled")).alias("open")
     )
     strings = written(open_covers(texts, opened, length), "strings")
-    twice = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
+    twice = written(strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string"), "twice")
     single = strings.where(F.col("k").isNotNull()).join(twice, "string", "leftsemi")
     starts = written(whole.unionByName(single.select("k", "at", F.lit(1).alias("n"))), "starts")
     return marked, texts, starts

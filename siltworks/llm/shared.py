@@ -29,7 +29,7 @@ def save(df: DataFrame, path: str) -> None:
     before = conf.get(CLEANUP, None)
     conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         conf.set(CLEANUP, before) if before is not None else conf.unset(CLEANUP)
 
