@@ -11,6 +11,7 @@ from siltworks.llm import (
     length_histogram,
     lsh_forest,
     prefix_free,
+    viterbi,
     weak_supervision,
 )
 
@@ -22,6 +23,7 @@ MODULES = [
     lsh_forest,
     branch_bound,
     extendible,
+    viterbi,
     elias_fano,
     prefix_free,
 ]
