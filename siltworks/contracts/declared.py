@@ -1,9 +1,7 @@
 """Declared contracts.
 
-The narrow tables are stated here. The wide ones (bpa_header, catalog_832,
-contracts, adv_product, item_xref, product_file) come from where an installation
-already declares them: a folder of contract files (``read_contracts``) or the
-catalog itself (``catalog_contracts``).
+The narrow tables are stated here, the wide ones in ``wide``. An installation can add its own
+from a folder of contract files (``read_contracts``) or from a catalog (``catalog_contracts``).
 """
 
 from __future__ import annotations
@@ -13,6 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from siltworks.contracts.model import Contract, ForeignKey, Registry
+from siltworks.contracts.wide import WIDE_DECLARED
 
 # Names, types, NOT NULL marks, defaults, keys and clustering of each table.
 DECLARED = (
@@ -163,7 +162,7 @@ DECLARED = (
 
 
 def declared() -> Registry:
-    return Registry(DECLARED)
+    return Registry([*DECLARED, *WIDE_DECLARED])
 
 
 def read_contracts(spark: SparkSession, folder: str) -> Registry:

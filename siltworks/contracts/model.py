@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterable, Mapping
 from dataclasses import asdict, dataclass, field
 from functools import cached_property
@@ -12,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 _REQUIRED = "NOT NULL"
+PROPERTY = "siltworks.contract"
 
 
 @dataclass(frozen=True)
@@ -74,16 +74,36 @@ class Contract:
                 parts.append("NOT NULL")
             notes = self._notes(f)
             if notes:
-                parts.append(f"COMMENT {_quote('; '.join(notes))}")
+                parts.append(f"COMMENT {quote('; '.join(notes))}")
             columns.append(" ".join(parts))
         sql = f"CREATE TABLE IF NOT EXISTS {table} (\n  " + ",\n  ".join(columns) + "\n) USING parquet"
         if self.cluster_by:
             sql += f"\nCLUSTER BY ({', '.join(self.cluster_by)})"
         if location:
-            sql += f"\nLOCATION {_quote(location)}"
+            sql += f"\nLOCATION {quote(location)}"
         keys = [f"Unique: {', '.join(key)}." for key in self.unique_keys]
         comment = " ".join([self.comment, *keys]).strip()
-        return sql + (f"\nCOMMENT {_quote(comment)}" if comment else "")
+        if comment:
+            sql += f"\nCOMMENT {quote(comment)}"
+        return sql + f"\nTBLPROPERTIES ({quote(PROPERTY)} = {quote(self._facts())})"
+
+    def _facts(self) -> str:
+        """What a Parquet table does not keep, in the form ``from_table`` reads. Comments are for people.
+
+        Columns are given by position: Spark hides the value of a property in which a word like "url" occurs.
+        """
+        at = {name: i for i, name in enumerate(self.schema.names)}
+        return json.dumps(
+            {
+                "required": [at[c] for c in self.required],
+                "source_names": {at[c]: name for c, name in self.source_names.items()},
+                "cluster_by": [at[c] for c in self.cluster_by],
+                "unique_keys": [[at[c] for c in key] for key in self.unique_keys],
+                "foreign_keys": [[at[k.column], k.parent, k.parent_column] for k in self.foreign_keys],
+                "comment": self.comment,
+                "source_folder": self.source_folder,
+            }
+        )
 
     def _notes(self, f: T.StructField) -> list[str]:
         notes = [] if f.nullable else [_REQUIRED]
@@ -109,51 +129,42 @@ class Contract:
 
     @staticmethod
     def from_table(spark: SparkSession, table: str) -> Contract:
-        """Read a contract back from the catalog: columns, defaults, keys, clustering.
-
-        NOT NULL is taken from the schema where the format keeps it and from the column
-        comments ``create_table_sql`` writes where it does not.
+        """Read a contract back from the catalog: columns and defaults from the schema, the rest
+        from the table's property. A table declared elsewhere has NOT NULL marks and clustering only.
         """
         schema = spark.table(table).schema
-        columns, sources, references = [], {}, []
-        for f in schema:
-            note = f.metadata.get("comment", "")
-            required = not f.nullable or _REQUIRED in note.split("; ")
-            kind = f.dataType.simpleString()
-            columns.append(f"{f.name} {kind}" + (" NOT NULL" if required else ""))
-            sources |= {f.name: m for m in re.findall(r"source column (\S+)", note)}
-            references += [
-                ForeignKey(f.name, *m) for m in re.findall(r"FK to (\w+)\.(\w+)", note)
-            ]
-        details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-        facts = {r["col_name"]: r["data_type"] or "" for r in details[len(schema) :]}
-        comment = facts.get("Comment", "")
-        # The catalog lists clustering columns after a heading of their own.
-        names = [r["col_name"] for r in details]
-        clustering = []
-        if "# Clustering Information" in names:
-            for name in names[names.index("# Clustering Information") + 2 :]:
-                if not name or name.startswith("#"):
-                    break
-                clustering.append(name)
+        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        facts = json.loads(properties.get(PROPERTY, "{}"))
+        required, names = set(facts.get("required", ())), schema.names
+        columns = [
+            f"{f.name} {f.dataType.simpleString()}" + (" NOT NULL" if not f.nullable or i in required else "")
+            for i, f in enumerate(schema)
+        ]
         return Contract(
             name=table.split(".")[-1].strip("`"),
             columns=", ".join(columns),
-            defaults={
-                f.name: f.metadata["CURRENT_DEFAULT"]
-                for f in schema
-                if "CURRENT_DEFAULT" in f.metadata
-            },
-            source_names=sources,
-            cluster_by=tuple(clustering),
-            unique_keys=tuple(
-                tuple(key.split(", ")) for key in re.findall(r"Unique: ([^.]+)\.", comment)
-            ),
-            foreign_keys=tuple(references),
-            comment=re.sub(r" ?Unique: [^.]+\.", "", comment).strip(),
+            defaults={f.name: f.metadata["CURRENT_DEFAULT"] for f in schema if "CURRENT_DEFAULT" in f.metadata},
+            source_names={names[int(i)]: name for i, name in facts.get("source_names", {}).items()},
+            cluster_by=tuple(names[i] for i in facts["cluster_by"]) if facts else _clustering(spark, table),
+            unique_keys=tuple(tuple(names[i] for i in k) for k in facts.get("unique_keys", ())),
+            foreign_keys=tuple(ForeignKey(names[i], *parent) for i, *parent in facts.get("foreign_keys", ())),
+            comment=facts.get("comment", ""),
+            source_folder=facts.get("source_folder", ""),
         )
 
 
+def _clustering(spark: SparkSession, table: str) -> tuple[str, ...]:
+    """Clustering columns, which the catalog lists after a heading of their own."""
+    names = [r["col_name"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    heading = "# Clustering Information"
+    out = []
+    for name in names[names.index(heading) + 2 :] if heading in names else ():
+        if not name or name.startswith("#"):
+            break
+        out.append(name)
+    return tuple(out)
+
+
 class Registry:
     """Contracts by name; names are matched after trimming and lower-casing."""
 
@@ -175,5 +186,5 @@ class Registry:
         return (self._by_name[n] for n in self.names())
 
 
-def _quote(text: str) -> str:
+def quote(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

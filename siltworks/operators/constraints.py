@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,10 @@ from siltworks.contracts import Contract
 from siltworks.operators.projection import (
     RAW_PREFIX,
     ROW_FAILED,
+    fail_flag,
     failed_columns,
+    flag_columns,
+    raw_names,
     typed_columns,
 )
 
@@ -65,14 +68,23 @@ def default_value(contract: Contract, column: str, run_time: datetime) -> Column
     return F.expr(text).cast(target)
 
 
-def fill_defaults(typed: DataFrame, contract: Contract, run_time: datetime) -> DataFrame:
-    return typed.withColumns(
-        {
-            c: F.coalesce(F.col(c), default_value(contract, c, run_time))
-            for c in contract.defaults
-            if c in typed.columns
-        }
-    )
+def fill_defaults(
+    checked: DataFrame, contract: Contract, run_time: datetime, absent: Collection[str] = ()
+) -> DataFrame:
+    """Declared defaults where the landed field was blank or its column is ``absent``.
+
+    ``checked`` is a ``check_contract`` result. A value that did not cast stays NULL: the default
+    would be a value nobody sent.
+    """
+    flags = set(flag_columns(checked))
+
+    def filled(c: str) -> Column:
+        value = F.coalesce(F.col(c), default_value(contract, c, run_time))
+        if c in absent or fail_flag(c) not in flags:
+            return value
+        return F.when(~F.col(fail_flag(c)), value)
+
+    return checked.withColumns({c: filled(c) for c in contract.defaults if c in checked.columns})
 
 
 def _cast_once(checked: DataFrame) -> DataFrame:
@@ -94,8 +106,7 @@ def valid_rows(checked: DataFrame, contract: Contract) -> DataFrame:
 
 def quarantined_rows(checked: DataFrame) -> DataFrame:
     """Failing rows as landed (``check_contract(keep_raw=True)``) and what failed in them."""
-    raw = [c for c in checked.columns if c.startswith(RAW_PREFIX)]
     return failing_rows(checked).select(
-        *[F.col(c).alias(c.removeprefix(RAW_PREFIX)) for c in raw],
+        *[F.col(RAW_PREFIX + c).alias(c) for c in raw_names(checked)],
         failed_columns(checked).alias("failed_columns"),
     )

@@ -47,6 +47,12 @@ def checked_columns(source: DataFrame, contract: Contract) -> list[str]:
     ]
 
 
+def absent_columns(source: DataFrame, contract: Contract) -> list[str]:
+    """Contract columns the source does not have."""
+    present = _matched(source, contract)
+    return [f.name for f in contract.schema if f.name not in present]
+
+
 def check_contract(source: DataFrame, contract: Contract, keep_raw: bool = False) -> DataFrame:
     """Typed contract columns, a flag per checked column and one per row.
 
@@ -111,6 +117,11 @@ def typed_columns(checked: DataFrame, contract: Contract) -> DataFrame:
     return checked.select(*contract.schema.names)
 
 
+def raw_names(checked: DataFrame) -> list[str]:
+    """Columns of a ``keep_raw`` check whose landed text is carried along."""
+    return [c.removeprefix(RAW_PREFIX) for c in checked.columns if c.startswith(RAW_PREFIX)]
+
+
 def flag_columns(checked: DataFrame) -> list[str]:
     return [c for c in checked.columns if c.endswith(FAIL_SUFFIX)]
 

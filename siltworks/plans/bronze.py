@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from datetime import datetime, timezone
+from dataclasses import astuple, dataclass
 from threading import Event
 
 from pyspark import inheritable_thread_target
@@ -13,27 +13,40 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.contracts import Contract, Registry
-from siltworks.sinks.audit import Run, append_audit
+from siltworks.sinks.audit import Run, audited
 from siltworks.sinks.lake import Lake, publish_frame
-from siltworks.sources.delimited import add_provenance, resolve_source_file, scan_delimited
+from siltworks.sources.delimited import CORRUPT, add_provenance, landed_paths, scan_delimited, source_files
+from siltworks.sources.ledger import file_ledger, new_files, record_files
 
 
-def clock() -> datetime:
-    return datetime.now(timezone.utc)
+LOG = logging.getLogger(__name__)
 
 
-def write_bronze(spark: SparkSession, lake: Lake, name: str, df: DataFrame) -> int:
-    """Overwrite a Bronze table; returns the rows written.
+@dataclass(frozen=True)
+class BronzeReport:
+    """What a Bronze load wrote, and how many of its lines had too few or too many fields."""
+
+    total_rows: int
+    malformed_rows: int = 0
+
+    def message(self, table: str) -> str:
+        return f"{table}: {self.malformed_rows} of {self.total_rows} lines have too few or too many fields"
+
+
+def write_bronze(spark: SparkSession, lake: Lake, name: str, df: DataFrame) -> BronzeReport:
+    """Overwrite a Bronze table; returns the rows written and, of a ``keep_corrupt`` scan, the malformed ones.
 
     Scan and write are one stage without a shuffle, so there are as many tasks as input
-    splits. The count is observed in that stage, where each task reports exactly once,
+    splits. The counts are observed in that stage, where each task reports exactly once,
     instead of being read back.
     """
     location = lake.new_location(lake.bronze, name)
     written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(location)
-    publish_frame(spark, lake, lake.bronze, name, df.schema, location)
-    return written.get["n"]
+    malformed = F.count_if(F.col(CORRUPT).isNotNull()) if CORRUPT in df.columns else F.count_if(F.lit(False))
+    rows = df.observe(written, F.count(F.lit(1)).alias("n"), malformed.alias("malformed")).drop(CORRUPT)
+    rows.write.parquet(location)
+    publish_frame(spark, lake, lake.bronze, name, rows.schema, location)
+    return BronzeReport(written.get["n"], written.get["malformed"])
 
 
 def load_bronze(
@@ -44,55 +57,58 @@ def load_bronze(
     run: Run = Run(),
     *,
     single_file: bool = True,
-) -> int:
+    only_new: bool = False,
+) -> BronzeReport:
     """Load one table's extract; an audit row is written whatever happens.
 
-    ``single_file`` insists on exactly one file in the table's folder. Without it the
-    whole folder is one load.
+    The folder is listed once. The files of that listing are read, and entered in the ledger when
+    the table is published; one that arrives meanwhile waits for the next load. ``single_file``
+    insists on exactly one, ``only_new`` leaves out those in the ledger. Without a file to
+    read the load is refused and the table stays as it was.
     """
-    started = clock()
-    path, rows, success, reason = None, 0, 0, None
-    try:
+    target = lake.table(lake.bronze, contract.name)
+    with audited(spark, lake, lake.bronze, run, target_table=target) as entry:
         folder = f"{landing.rstrip('/')}/{contract.folder}"
-        path = resolve_source_file(spark, folder) if single_file else folder
-        scan = scan_delimited(spark, path, contract.source_schema)
-        rows = write_bronze(spark, lake, contract.name, add_provenance(scan, started))
-        success = 1
-        return rows
-    except Exception as error:
-        reason = str(error)
-        raise
-    finally:
-        append_audit(
-            spark,
-            lake,
-            lake.bronze,
-            [
-                run.row(
-                    start_time=started,
-                    end_time=clock(),
-                    source_file_path=path,
-                    target_table=lake.table(lake.bronze, contract.name),
-                    success=success,
-                    failure_reason=reason,
-                    record_count=rows,
-                )
-            ],
-        )
+        listing = source_files(spark, folder)
+        if only_new:
+            listing = new_files(listing, file_ledger(spark, lake).where(F.col("target_table") == target))
+        rows = listing.collect()  # names, sizes and times of files
+        files = spark.createDataFrame(rows, listing.schema)
+        paths = landed_paths(files, folder, single=single_file)
+        entry["source_file_path"] = paths[0] if single_file else folder
+        scan = scan_delimited(spark, paths, contract.source_schema, keep_corrupt=True)
+        report = write_bronze(spark, lake, contract.name, add_provenance(scan, entry["start_time"]))
+        record_files(files, lake, target, run.job_run_id, entry["start_time"])
+        entry["record_count"] = report.total_rows
+        if report.malformed_rows:
+            LOG.warning(report.message(contract.name))
+        return report
+
+
+OUTCOMES = (
+    "table_name string, success boolean, record_count bigint, error string, malformed_rows bigint, "
+    "cast_error_rows bigint, cast_error_pct double, top_columns array<struct<column_name: string, cast_failures: bigint>>"
+)
 
 
 @dataclass(frozen=True)
 class Outcome:
+    """One table's result. What a layer does not measure is missing."""
+
     table_name: str
     success: bool
     record_count: int
-    error: str | None
+    error: str | None = None
+    malformed_rows: int | None = None
+    cast_error_rows: int | None = None
+    cast_error_pct: float | None = None
+    top_columns: list[tuple[str, int]] | None = None
 
 
 def run_tables(
     spark: SparkSession,
     names: Iterable[str],
-    load: Callable[[str], int],
+    load: Callable[[str], Outcome],
     *,
     fail_fast: bool = True,
     parallel: int = 1,
@@ -110,7 +126,7 @@ def run_tables(
         if stop.is_set():
             return None
         try:
-            return Outcome(name, True, load(name), None)
+            return load(name)
         except Exception as error:
             if fail_fast:
                 stop.set()
@@ -122,10 +138,7 @@ def run_tables(
             pool.submit(inheritable_thread_target(spark)(attempt), name) for name in sorted(names)
         ]
     outcomes = [future.result() for future in started]
-    return spark.createDataFrame(
-        [(o.table_name, o.success, o.record_count, o.error) for o in outcomes],
-        "table_name string, success boolean, record_count bigint, error string",
-    )
+    return spark.createDataFrame([astuple(o) for o in outcomes], OUTCOMES)
 
 
 def load_all(
@@ -137,10 +150,13 @@ def load_all(
     *,
     fail_fast: bool = True,
     parallel: int = 1,
-    single_file: bool = True,
+    **options,
 ) -> DataFrame:
-    def load(name: str) -> int:
-        return load_table(spark, lake, registry, name, landing, run, single_file=single_file)
+    """Load every table of a registry; ``options`` are those of ``load_bronze``."""
+
+    def load(name: str) -> Outcome:
+        report = load_table(spark, lake, registry, name, landing, run, **options)
+        return Outcome(name, True, report.total_rows, malformed_rows=report.malformed_rows)
 
     return run_tables(spark, registry.names(), load, fail_fast=fail_fast, parallel=parallel)
 
@@ -152,9 +168,7 @@ def load_table(
     name: str,
     landing: str,
     run: Run = Run(),
-    *,
-    single_file: bool = True,
-) -> int:
+    **options,
+) -> BronzeReport:
     """Load one table by name, in any case and with stray spaces."""
-    contract = registry.lookup(name)
-    return load_bronze(spark, lake, contract, landing, run, single_file=single_file)
+    return load_bronze(spark, lake, registry.lookup(name), landing, run, **options)

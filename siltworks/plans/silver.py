@@ -9,24 +9,31 @@ from pyspark.sql import types as T
 from siltworks.contracts import Contract, Registry
 from siltworks.operators.constraints import fill_defaults
 from siltworks.operators.projection import (
+    RAW_PREFIX,
     ROW_FAILED,
+    absent_columns,
     check_contract,
     failed_columns,
+    raw_names,
     typed_columns,
 )
 from siltworks.operators.quality import DqReport, Gate, metric_columns
-from siltworks.plans.bronze import clock, run_tables
-from siltworks.sinks.audit import Run, append_audit
+from siltworks.plans.bronze import LOG, Outcome, run_tables
+from siltworks.sinks.audit import Run, audited
 from siltworks.sinks.lake import (
+    CLUSTER_FILE_BYTES,
     QUARANTINE_SUFFIX,
     Lake,
+    cluster_files,
     clustered,
     publish_contract,
     publish_frame,
+    withdraw,
 )
 from siltworks.sources.tables import tables_to_process
 
 SPLIT_COLUMN = "dq_failed"
+LANDED = "landed"
 
 
 def write_checked(checked: DataFrame, contract: Contract, location: str) -> DqReport:
@@ -46,10 +53,16 @@ def write_checked(checked: DataFrame, contract: Contract, location: str) -> DqRe
 def write_quarantined(
     checked: DataFrame, contract: Contract, location: str
 ) -> tuple[str, str, DqReport]:
-    """Write valid and failing rows apart in one pass; returns their two folders."""
+    """Write valid and failing rows apart in one pass; returns their two folders.
+
+    Failing rows (``check_contract(keep_raw=True)``) keep their text as it landed in ``landed``, because
+    the next load overwrites Bronze. Valid rows have it empty, which costs next to nothing.
+    """
     measured = Observation()
+    landed = F.struct(*[F.col(RAW_PREFIX + c).alias(c) for c in raw_names(checked)])
     checked.observe(measured, *metric_columns(checked)).select(
         *contract.schema.names,
+        F.when(F.col(ROW_FAILED), landed).alias(LANDED),
         failed_columns(checked).alias("failed_columns"),
         F.col(ROW_FAILED).alias(SPLIT_COLUMN),
     ).write.partitionBy(SPLIT_COLUMN).parquet(location)
@@ -61,16 +74,18 @@ def write_quarantined(
 
 
 def write_clustered(
-    spark: SparkSession, contract: Contract, staged: str, location: str
+    spark: SparkSession, contract: Contract, staged: str, location: str, file_bytes: int = CLUSTER_FILE_BYTES
 ) -> None:
-    """Order staged rows by the contract's clustering keys.
+    """Order staged rows by the contract's clustering keys, in as many files as their bytes ask for.
 
     Works from the staged typed files, not from the text: finding the key ranges is a
     pass over the input of its own, and tasks lost during the shuffle start again from
     here. A refused load never gets this far.
     """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(staged)
+    staged_bytes = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     rows = spark.read.schema(contract.schema).parquet(staged)
-    clustered(rows, contract.cluster_by).write.parquet(location)
+    clustered(rows, contract.cluster_by, cluster_files(staged_bytes, file_bytes)).write.parquet(location)
 
 
 def promote_silver(
@@ -94,52 +109,41 @@ def promote_silver(
     clustering keys, ``quarantine`` keeps failing rows out of the table and puts them
     in ``<table>_dq_quarantine``. All three are off in a plain load.
     """
-    started = clock()
-    rows, success, reason = 0, 0, None
     source = lake.table(lake.bronze, contract.name)
-    try:
-        checked = check_contract(spark.table(source), contract)
+    target = lake.table(lake.silver, contract.name)
+    with audited(spark, lake, lake.silver, run, source_table=source, target_table=target) as entry:
+        landed = spark.table(source)
+        checked = check_contract(landed, contract, keep_raw=quarantine)
         if defaults:
-            checked = fill_defaults(checked, contract, started)
+            absent = absent_columns(landed, contract)
+            checked = fill_defaults(checked, contract, entry["start_time"], absent)
         location = lake.new_location(lake.silver, contract.name)
         if quarantine:
             location, failing, report = write_quarantined(checked, contract, location)
         else:
             failing, report = None, write_checked(checked, contract, location)
         report.enforce(gate, contract.name)
+        if report.cast_error_rows:
+            LOG.warning(report.message(contract.name))
         if cluster and contract.cluster_by:
             staged, location = location, lake.new_location(lake.silver, contract.name)
             write_clustered(spark, contract, staged, location)
         if failing:
-            _publish_quarantine(spark, lake, contract, failing)
+            _publish_quarantine(spark, lake, contract, raw_names(checked), failing)
+        else:
+            # Rows an earlier load put aside are not this load's.
+            withdraw(spark, lake, lake.silver, contract.name + QUARANTINE_SUFFIX)
         publish_contract(spark, lake, lake.silver, contract, location)
-        rows, success = report.total_rows, 1
+        entry["record_count"] = report.total_rows
         return report
-    except Exception as error:
-        reason = str(error)
-        raise
-    finally:
-        append_audit(
-            spark,
-            lake,
-            lake.silver,
-            [
-                run.row(
-                    start_time=started,
-                    end_time=clock(),
-                    source_table=source,
-                    target_table=lake.table(lake.silver, contract.name),
-                    success=success,
-                    failure_reason=reason,
-                    record_count=rows,
-                )
-            ],
-        )
 
 
-def _publish_quarantine(spark: SparkSession, lake: Lake, contract: Contract, folder: str) -> None:
+def _publish_quarantine(
+    spark: SparkSession, lake: Lake, contract: Contract, raw: list[str], folder: str
+) -> None:
+    landed = T.StructType([T.StructField(c, T.StringType()) for c in raw])
     reasons = T.StructField("failed_columns", T.ArrayType(T.StringType()))
-    columns = T.StructType([*contract.schema.fields, reasons])
+    columns = T.StructType([*contract.schema.fields, T.StructField(LANDED, landed), reasons])
     publish_frame(spark, lake, lake.silver, contract.name + QUARANTINE_SUFFIX, columns, folder)
 
 
@@ -154,10 +158,21 @@ def promote_all(
     parallel: int = 1,
     **options,
 ) -> DataFrame:
-    """Promote every table that has a Bronze source, stopping at the first error."""
+    """Promote every table that has a Bronze source, stopping at the first error.
+
+    Each outcome tells how many rows failed a cast, which share that is, and the columns with most failures.
+    """
 
-    def promote(name: str) -> int:
-        return promote_silver(spark, lake, registry.lookup(name), run, gate, **options).total_rows
+    def promote(name: str) -> Outcome:
+        r = promote_silver(spark, lake, registry.lookup(name), run, gate, **options)
+        return Outcome(
+            name,
+            True,
+            r.total_rows,
+            cast_error_rows=r.cast_error_rows,
+            cast_error_pct=r.cast_error_pct,
+            top_columns=r.top_columns(),
+        )
 
     return run_tables(spark, tables_to_process(spark, lake, requested), promote, parallel=parallel)
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.operators import constraints as c
-from siltworks.operators.projection import check_contract, project_contract
+from siltworks.operators.projection import check_contract, project_contract, typed_columns
 from siltworks.queries.checks import checked_names, checked_sql, columns_of
 from siltworks.queries.inputs import (
     LINEITEM,
@@ -22,6 +23,13 @@ from siltworks.queries.inputs import (
 from siltworks.queries.typing import _shown, comparable
 
 RUN_TIME = datetime(2024, 1, 31, 6, 30)
+REFERENCES = [
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("documents", "doc_id", "labels", "doc_id"),
+    ("labels", "doc_id", "documents", "doc_id"),
+    ("events", "user_id", "customer", "c_custkey"),
+]
 
 
 def unique_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,18 +38,14 @@ def unique_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The given tables have no orphans, so the parents are those in good standing.
-    orders = table(spark, sf_dir, "orders")
-    solvent = table(spark, sf_dir, "customer").filter("c_acctbal > 0")
-    shipped = orders.filter("o_orderstatus <> 'P'")
-    found = {
-        "orders.o_custkey": c.fk_orphans(orders, "o_custkey", solvent, "c_custkey"),
-        "lineitem.l_orderkey": c.fk_orphans(
-            table(spark, sf_dir, "lineitem"), "l_orderkey", shipped, "o_orderkey"
-        ),
-    }
-    named = [df.select(F.lit(name).alias("reference"), "key", "n_rows") for name, df in found.items()]
-    return named[0].unionByName(named[1])
+    """Whole tables against whole tables; labels cover only some of the documents."""
+    named = [
+        c.fk_orphans(table(spark, sf_dir, child), column, table(spark, sf_dir, parent), key).select(
+            F.lit(f"{child}.{column}").alias("reference"), "key", "n_rows"
+        )
+        for child, column, parent, key in REFERENCES
+    ]
+    return reduce(lambda a, b: a.unionByName(b), named)
 
 
 def not_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +53,8 @@ def not_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def default_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = project_contract(dirty(spark, sf_dir, WIDE_DIRTY), WIDE)
-    return comparable(c.fill_defaults(typed, WIDE, RUN_TIME))
+    checked = check_contract(dirty(spark, sf_dir, WIDE_DIRTY), WIDE)
+    return comparable(typed_columns(c.fill_defaults(checked, WIDE, RUN_TIME), WIDE))
 
 
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +80,14 @@ _FILL = {
 }
 
 
+def _filled(name: str) -> str:
+    """The default for a blank field; nothing for one that did not cast."""
+    value = f"coalesce({name}, {_FILL[name]})"
+    if name not in checked_names(WIDE):
+        return f"{value} as {name}"
+    return f"case when not {name}__cast_fail then {value} end as {name}"
+
+
 def _quarantine_check() -> str:
     # Failing rows are told apart on the landed text, so it is carried beside the flags.
     raw = ", ".join(f"src.{n} as raw_{n}" for n in _NAMES)
@@ -94,10 +106,11 @@ QUERIES = {
     ),
     "fk_orphans": (
         fk_orphans,
-        "select 'orders.o_custkey' as reference, o_custkey as key, count(*) as n_rows from orders "
-        "where o_custkey not in (select c_custkey from customer where c_acctbal > 0) group by 2 "
-        "union all select 'lineitem.l_orderkey', l_orderkey, count(*) from lineitem "
-        "where l_orderkey not in (select o_orderkey from orders where o_orderstatus <> 'P') group by 2",
+        " union all ".join(
+            f"select '{child}.{column}' as reference, {column} as key, count(*) as n_rows from {child} "
+            f"where {column} not in (select {key} from {parent}) group by 2"
+            for child, column, parent, key in REFERENCES
+        ),
     ),
     "not_null_audit": (
         not_null_audit,
@@ -111,7 +124,7 @@ QUERIES = {
         default_fill,
         "select "
         + ", ".join(
-            f"coalesce({n}, {_FILL[n]}) as {n}" if n in _FILL else _shown(n, k)
+            _filled(n) if n in _FILL else _shown(n, k)
             for n, k, _ in columns_of(WIDE)
         )
         + f" from ({_WIDE})",

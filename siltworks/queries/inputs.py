@@ -14,7 +14,6 @@ from siltworks.queries.checks import columns_of
 from siltworks.session import scratch_dir
 from siltworks.sinks.lake import Lake
 from siltworks.sources.delimited import SEPARATOR
-from siltworks.sources.tables import spread
 
 LINEITEM_DIRTY = """
 select cast(l_orderkey as string) as l_orderkey, cast(l_linenumber as string) as l_linenumber,
@@ -41,16 +40,17 @@ _MONTH_STYLE = """substr('JanFebMarAprMayJunJulAugSepOctNovDec',(cast(substr(d,6
 
 EVENTS_DIRTY = f"""
 select cast(event_id as string) as event_id,
+  case event_id % 11 when 9 then exact when 10 then replace(exact,' ','T') else
   case event_id % 9 when 0 then d when 1 then replace(d,' ','T')
     when 2 then substr(d,6,2)||'/'||substr(d,9,2)||'/'||substr(d,1,4)||' '||substr(d,12,5)
     when 3 then {_MONTH_STYLE}||'  '
       ||cast(case when cast(substr(d,12,2) as int) % 12=0 then 12 else cast(substr(d,12,2) as int) % 12 end as string)
       ||substr(d,14,6)||':000'||case when cast(substr(d,12,2) as int)>=12 then 'PM' else 'AM' end
-    when 4 then substr(d,1,10) when 5 then ' ' when 6 then 'bad' when 7 then substr(d,1,16) else '  '||d||' ' end as ts,
+    when 4 then substr(d,1,10) when 5 then ' ' when 6 then 'bad' when 7 then substr(d,1,16) else '  '||d||' ' end end as ts,
   case event_id % 7 when 0 then cast(user_id as string)||'.00' when 1 then '+'||cast(user_id as string)
     when 2 then '99999999999' when 3 then '1.5' when 4 then '('||cast(user_id as string)||')'
     when 5 then '1,'||'000' else cast(user_id as string) end as user_id
-from (select *, substr(cast(ts as string),1,19) as d from {{events}}) t
+from (select *, cast(ts as string) as exact, cast(date_trunc('second', ts) as string) as d from {{events}}) t
 """
 
 EVENTS = Contract(
@@ -160,12 +160,12 @@ FEEDS = {
         "mod_date": "case c_nationkey % 3 when 0 then 'Jan  5 2024 12:00:00:000AM' when 1 then '2024-01-05' else '1/5/2024 10:00' end"}),
     "gsin_hide_remove": ("events", {
         "gsin": "cast(event_id as string) || '.00'", "status": "event_type",
-        "date_requested": "substr(cast(ts as string),1,19)", "reason": "props",
+        "date_requested": "cast(ts as string)", "reason": "props",
         "requested_by": "cast(user_id as string)"}),
     "gsin_hide_remove_hist": ("events", {
         "gsin": "case event_type when 'view' then 'v' else cast(event_id as string) end",
         "status": "event_type", "contract_num": "cast(user_id as string)", "item_num": "''",
-        "mfr_name": "event_type", "status_date": "cast(cast(ts as date) as string)", "reason": "props"}),
+        "mfr_name": "event_type", "status_date": "cast(ts as string)", "reason": "props"}),
     "mp_product": ("part", {
         "mp_type_id": "cast(p_size as string)", "gsin": "cast(p_partkey as string)", "product_name": "p_name",
         "mfr_name": "p_brand", "source_type_id": "case p_size when 7 then '' else '2' end",
@@ -215,13 +215,69 @@ FEEDS = {
 }
 
 
+# The wide contracts: the table each is fed from, and a few source columns with values of their own.
+FEEDS |= {
+    "bpa_header": ("orders", {
+        "bpa_number": "'BPA-' || cast(o_orderkey as string)", "contract_number": "'GS-' || cast(o_custkey as string)",
+        "creation_time": "cast(cast(o_orderdate as date) as string) || ' 08:15:00'"}),
+    "catalog_832": ("customer", {
+        "vend_id": "cast(c_custkey as string)", "contract_num": "c_name", "agency_name": "c_mktsegment",
+        "max_order": "cast(cast(c_acctbal as decimal(18,2)) as string)"}),
+    "contracts": ("customer", {
+        "contract_identity": "cast(c_custkey as string)", "contractor_name": "c_name",
+        "schedule_number": "c_mktsegment", "special_item_number": "cast(c_nationkey as string)"}),
+    "adv_product": ("part", {
+        "oid": "cast(p_partkey as string) || '.00'", "prod_id": "cast(p_partkey as string)", "name": "p_name",
+        "price": "'$' || cast(cast(p_retailprice as decimal(18,2)) as string)", "adv_manufacture_name": "p_brand"}),
+    "item_xref": ("part", {
+        "item_id": "cast(p_partkey as string)", "item_name": "p_name", "mfr_name": "p_brand", "item_type": "p_type",
+        "item_price": "cast(cast(p_retailprice as decimal(18,2)) as string) || '25'"}),
+    "product_file": ("part", {
+        "vend_id": "cast(p_size as string)", "mfr_part": "cast(p_partkey as string)", "prod_name": "p_name",
+        "mfr_name": "p_brand", "prod_desc1": "p_type"}),
+}
+
+# A whole number that tells a table's rows apart well enough to deal values out.
+KEYS = {
+    "part": "p_partkey", "lineitem": "(l_orderkey + l_linenumber)", "customer": "c_custkey", "events": "event_id",
+    "supplier": "s_suppkey", "orders": "o_orderkey", "nation": "n_nationkey", "pages": "page_id",
+}
+
+
+def _dealt(kind: str, key: str, column: str, at: int) -> str:
+    """Text for a column without a value of its own: all forms its type accepts, by turns."""
+    kind = kind.lower()
+    turn, small = f"({key} + {at}) % 4", f"cast({key} % 90 as string)"
+    day = f"'2024-0' || cast({key} % 9 + 1 as string) || '-1' || cast({key} % 10 as string)"
+    if kind == "string":
+        return f"case {turn} when 0 then '' else '{column} ' || cast({key} as string) end"
+    if kind == "boolean":
+        return f"case {turn} when 0 then 'Y' when 1 then '0.0' when 2 then 'TRUE' else 'f' end"
+    if kind == "timestamp":
+        return f"case {turn} when 0 then {day} || ' 10:20:30' when 1 then {day} || 'T01:02:03' when 2 then '01/05/2024 10:00' else {day} end"
+    if kind == "date":
+        return f"case {turn} when 0 then {day} when 1 then '20240131' when 2 then '01/31/2024' else '01-31-2024' end"
+    if kind in ("tinyint", "smallint", "int", "bigint") or kind.endswith(",0)"):
+        return f"case {turn} when 0 then {small} || '.00' when 1 then '+' || {small} when 2 then '(' || {small} || ')' else {small} end"
+    return f"case {turn} when 0 then '$' || {small} || '.25' when 1 then '-.5' when 2 then '(1.5)' else {small} end"
+
+
 def feed_sql(name: str) -> str:
-    """The extract of a declared contract: every source column, in file order, as text."""
+    """The extract of a declared contract: every source column, in file order, as text.
+
+    Each typed column is blank in some rows and has a value that does not cast in others.
+    """
     table, values = FEEDS[name]
-    contract = declared().lookup(name)
+    contract, key = declared().lookup(name), KEYS[table]
+
+    def text(at: int, column: str, kind: str) -> str:
+        value = values.get(column, _dealt(kind, key, column, at))
+        if kind.lower() == "string":
+            return value
+        return f"case ({key} + {at}) % 10 when 5 then '' when 6 then 'bad' else {value} end"
+
     columns = ", ".join(
-        f"{values.get(c, 'cast(null as string)')} as {contract.source_name(c)}"
-        for c, _, _ in columns_of(contract)
+        f"{text(at, c, kind)} as {contract.source_name(c)}" for at, (c, kind, _) in enumerate(columns_of(contract))
     )
     return f"select {columns} from {{{table}}}"
 
@@ -238,8 +294,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def dirty(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = [t for t in TABLES if f"{{{t}}}" in sql]
-    # One file with one row group stands for a landed table of many files.
-    return spark.sql(sql, **{t: spread(table(spark, sf_dir, t)) for t in used})
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})
 
 
 def plain(sql: str) -> str:
@@ -263,7 +318,7 @@ def land(df: DataFrame, folder: str) -> str:
 
 def land_feeds(spark: SparkSession, sf_dir: str, landing: str, names: list[str]) -> str:
     for name in names:
-        land(dirty(spark, sf_dir, feed_sql(name)), f"{landing}/{name}")
+        land(dirty(spark, sf_dir, feed_sql(name)), f"{landing}/{declared().lookup(name).folder}")
     return landing
 
 

@@ -14,6 +14,7 @@ from siltworks.contracts import Contract, Registry, declared
 from siltworks.operators.constraints import fill_defaults
 from siltworks.operators.projection import check_contract, project_contract, typed_columns
 from siltworks.plans.bronze import load_all, load_bronze, write_bronze
+from siltworks.plans.runs import run_report
 from siltworks.plans.silver import (
     SPLIT_COLUMN,
     declare_silver,
@@ -21,7 +22,7 @@ from siltworks.plans.silver import (
     promote_silver,
     write_checked,
 )
-from siltworks.queries.checks import blank, checked_sql, columns_of
+from siltworks.queries.checks import blank, checked_names, checked_sql, columns_of
 from siltworks.queries.constraints import RUN_TIME
 from siltworks.queries.inputs import (
     EVENTS,
@@ -41,10 +42,11 @@ from siltworks.queries.inputs import (
 from siltworks.queries.typing import comparable
 from siltworks.session import scratch_dir
 from siltworks.sinks.audit import Run, audit_log
-from siltworks.sinks.lake import QUARANTINE_SUFFIX, clustered, publish_contract
+from siltworks.sinks.lake import AUDIT_TABLE, LEDGER_TABLE, QUARANTINE_SUFFIX, publish_contract
 from siltworks.sources.delimited import (
     INGEST_TS,
     INPUT_FILE_NAME,
+    SEPARATOR,
     add_provenance,
     malformed_census,
     malformed_rows,
@@ -52,7 +54,7 @@ from siltworks.sources.delimited import (
     source_file_census,
     source_files,
 )
-from siltworks.sources.ledger import new_files
+from siltworks.sources.ledger import LEDGER_COLUMNS, new_files, record_files
 from siltworks.sources.tables import tables_to_process
 from siltworks.streaming.ingest import read_new_files, stream_bronze, stream_silver
 
@@ -61,7 +63,7 @@ RUN = Run("job", "2024-01-31", "load", "1")
 # --- delimited text ---------------------------------------------------------------
 
 EVENT_TEXT = """
-select cast(event_id as string) as event_id, substr(cast(ts as string), 1, 19) as ts,
+select cast(event_id as string) as event_id, cast(ts as string) as ts,
   cast(user_id as string) as user_id, case event_type when 'view' then '' else event_type end as event_type,
   ' ' || cast(cast(value as decimal(18,2)) as string) || ' ' as value,
   case event_type when 'click' then 'a^|~"b"' else props end as props
@@ -117,7 +119,11 @@ _LINE_SCHEMA = T.StructType(
 
 
 def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_dir(spark, "lines")
+    folder = _write_lines(spark, sf_dir, scratch_dir(spark, "lines"))
+    return scan_delimited(spark, folder, _LINE_SCHEMA, keep_corrupt=True)
+
+
+def _write_lines(spark: SparkSession, sf_dir: str, folder: str) -> str:
     # The first line of a file is taken for its header, so each line brings one along
     # as a line of its own only where a file starts: written by a header-only row.
     lines = dirty(spark, sf_dir, LINES)
@@ -125,8 +131,8 @@ def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
     lines.select(
         F.when(first, F.concat(F.lit(head + "\n"), F.col("value"))).otherwise(F.col("value")).alias("value")
-    ).write.text(folder)
-    return scan_delimited(spark, folder, _LINE_SCHEMA, keep_corrupt=True)
+    ).write.option("extension", "txt").text(folder)
+    return folder
 
 
 def malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +146,7 @@ def malformed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unseen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per order status in the files the audit log does not know."""
+    """Rows per order status in the files the ledger does not know."""
     landing = scratch_dir(spark, "ledger")
     text = table(spark, sf_dir, "orders").select(
         "o_orderstatus", *[F.col(c).cast("string") for c in ("o_orderkey", "o_custkey")]
@@ -149,11 +155,15 @@ def unseen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.write.partitionBy("o_orderstatus").option("sep", "^|~").option("header", "true")
         .option("extension", "txt").csv(landing)
     )
-    log = spark.createDataFrame(
-        [(f"{landing}/o_orderstatus=F/", 1), (f"{landing}/o_orderstatus=O", 0)],
-        "source_file_path string, success int",
-    )
-    fresh = new_files(source_files(spark, landing), log).select(F.col("path").alias("file_path"))
+    files = source_files(spark, landing, below=True)
+    # One status is loaded; of another the files were replaced since by larger ones.
+    loaded = files.where("path like '%o_orderstatus=F/%'")
+    replaced = files.where("path like '%o_orderstatus=O/%'").withColumn("length", F.col("length") - 1)
+    lake = scratch_lake(spark, "ledger-lake")
+    record_files(loaded.unionByName(replaced), lake, "orders", RUN.job_run_id, RUN_TIME)
+    known = stored_log(spark, lake)
+    lake.drop_schemas(spark)
+    fresh = new_files(files, known).select(F.col("path").alias("file_path"))
     rows = (
         scan_delimited(
             spark, landing, T.StructType.fromDDL("o_orderkey STRING, o_custkey STRING, o_orderstatus STRING")
@@ -168,6 +178,86 @@ def unseen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_log(spark: SparkSession, lake) -> DataFrame:
+    """A lake's ledger read by path, so it outlives its catalog entry."""
+    return spark.read.parquet(f"{lake.root}/{lake.bronze}/{LEDGER_TABLE}").select(*LEDGER_COLUMNS.names)
+
+
+def files_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of one folder, a file arriving in between: each row is in exactly one of them."""
+    lake = scratch_lake(spark, "twice")
+    contract = declared().lookup("suspend_contract")
+    text = dirty(spark, sf_dir, feed_sql(contract.name))
+    folder = f"{lake.root}/landing/{contract.folder}"
+    first = F.col("suspend_type") == "2"
+    parts = []
+    for number, rows in enumerate((text.where(first), text.where(~first | F.col("suspend_type").isNull()))):
+        _land_into(rows, folder)
+        load_bronze(spark, lake, contract, f"{lake.root}/landing", RUN, single_file=False, only_new=True)
+        parts.append(stored(spark, lake, lake.bronze, contract.name).withColumn("load", F.lit(number)))
+    try:
+        load_bronze(spark, lake, contract, f"{lake.root}/landing", RUN, single_file=False, only_new=True)
+        raise AssertionError("nothing new was loaded")
+    except FileNotFoundError:
+        pass
+    lake.drop_schemas(spark)
+    rows = parts[0].unionByName(parts[1])
+    return rows.select(F.col("CONTRACT_NUM").alias("contract_num"), F.col("SUSPEND_TYPE").alias("suspend_type"), "load")
+
+
+def _land_into(df: DataFrame, folder: str) -> None:
+    """Add an extract's files to a folder that may hold some."""
+    (
+        df.write.mode("append").option("sep", SEPARATOR).option("header", "true").option("extension", "txt")
+        .option("emptyValue", "").csv(folder)
+    )
+
+
+def empty_landing_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder without a file: the load is refused, the old rows stay, and the log says so."""
+    lake = scratch_lake(spark, "nothing")
+    contract = declared().lookup("suspend_contract")
+    landing = land_feeds(spark, sf_dir, f"{lake.root}/landing", [contract.name])
+    load_bronze(spark, lake, contract, landing, RUN, single_file=False)
+    # The folder is there, with a file of another kind.
+    dirty(spark, sf_dir, feed_sql(contract.name)).limit(1).write.json(f"{lake.root}/elsewhere/{contract.folder}")
+    for single in (True, False):
+        try:
+            load_bronze(spark, lake, contract, f"{lake.root}/elsewhere", RUN, single_file=single)
+        except FileNotFoundError as refused:
+            assert "no .txt file" in str(refused)
+    log = audit_log(spark, lake, lake.bronze).groupBy("success").agg(
+        F.count(F.lit(1)).alias("loads"), F.sum("record_count").alias("logged")
+    )
+    rows = stored(spark, lake, lake.bronze, contract.name).agg(F.count(F.lit(1)).alias("stored"))
+    result = spark.createDataFrame(log.join(F.broadcast(rows)).collect(), "success int, loads bigint, logged bigint, stored bigint")
+    lake.drop_schemas(spark)
+    return result
+
+
+def single_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default load: one file in the folder, archived files below it left alone."""
+    lake = scratch_lake(spark, "single")
+    contract = declared().lookup("sin")
+    folder = f"{lake.root}/landing/{contract.folder}"
+    land(dirty(spark, sf_dir, feed_sql(contract.name)).coalesce(1), folder)
+    land(dirty(spark, sf_dir, feed_sql(contract.name)).coalesce(1), f"{folder}/archive")
+    load_bronze(spark, lake, contract, f"{lake.root}/landing", RUN)
+    rows = stored(spark, lake, lake.bronze, contract.name)
+    lake.drop_schemas(spark)
+    return rows.select(*[F.col(c).alias(c.lower()) for c in contract.source_schema.names])
+
+
+def load_reports_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load counts lines with too few or too many fields while it writes."""
+    lake = scratch_lake(spark, "malformed")
+    contract = Contract(name="lines", columns="o_orderkey STRING, o_orderstatus STRING, o_orderpriority STRING")
+    _write_lines(spark, sf_dir, f"{lake.root}/landing/lines")
+    outcomes = load_all(spark, lake, Registry([contract]), f"{lake.root}/landing", RUN, single_file=False)
+    lake.drop_schemas(spark)
+    return outcomes.select("table_name", "record_count", "malformed_rows")
+
+
 # --- Bronze -----------------------------------------------------------------------
 
 
@@ -186,7 +276,7 @@ def bronze_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_lake(spark, "count")
     written = write_bronze(spark, lake, "lineitem", dirty(spark, sf_dir, LINEITEM_DIRTY))
     result = stored(spark, lake, lake.bronze, "lineitem").agg(
-        F.lit(written).cast("bigint").alias("observed"), F.count(F.lit(1)).alias("stored")
+        F.lit(written.total_rows).cast("bigint").alias("observed"), F.count(F.lit(1)).alias("stored")
     )
     lake.drop_schemas(spark)
     return result
@@ -223,7 +313,8 @@ def load_all_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, _ = _loaded(spark, sf_dir, "audit", absent=("zone_price",))
-    result = audit_log(spark, lake, lake.bronze)
+    # By path, so it outlives its catalog entry.
+    result = spark.read.parquet(f"{lake.root}/{lake.bronze}/{AUDIT_TABLE}")
     lake.drop_schemas(spark)
     return result.select(
         "job_id",
@@ -280,6 +371,7 @@ def silver_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_lake(spark, "replace")
     contract = declared().lookup("suspend_contract")
     checked = check_contract(dirty(spark, sf_dir, feed_sql(contract.name)), contract)
+    # The columns all landed, so only blank fields get a default.
     for frame in (checked, fill_defaults(checked, contract, RUN_TIME)):
         location = lake.new_location(lake.silver, contract.name)
         write_checked(frame, contract, location)
@@ -297,13 +389,15 @@ def clustered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both tables of a quarantining load, told apart by ``quarantined``."""
+    """Both tables of a quarantining load, told apart by ``quarantined``; failing rows with their landed text."""
     lake = _promoted(spark, sf_dir, "quarantine", quarantine=True)
     names = LINEITEM.schema.names
-    valid = stored(spark, lake, lake.silver, LINEITEM.name).select(*names, F.lit(False).alias("quarantined"))
+    text = [F.col(f"landed.{c}").alias(f"landed_{c}") for c in names]
+    nothing = [F.lit(None).cast("string").alias(f"landed_{c}") for c in names]
+    valid = stored(spark, lake, lake.silver, LINEITEM.name).select(*names, F.lit(False).alias("quarantined"), *nothing)
     failing = stored(spark, lake, lake.silver, LINEITEM.name + QUARANTINE_SUFFIX)
     lake.drop_schemas(spark)
-    return valid.unionByName(failing.select(*names, F.lit(True).alias("quarantined")))
+    return valid.unionByName(failing.select(*names, F.lit(True).alias("quarantined"), *text))
 
 
 def promote_all_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +405,28 @@ def promote_all_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     declare_silver(spark, lake, declared())
     outcomes = promote_all(spark, lake, declared(), RUN, parallel=4)
     lake.drop_schemas(spark)
-    return outcomes.select("table_name", "success", "record_count")
+    top = F.array_join(F.transform("top_columns", lambda c: F.concat(c["column_name"], F.lit(":"), c["cast_failures"])), ",")
+    return outcomes.select(
+        "table_name", "success", "record_count", "cast_error_rows", "cast_error_pct", top.alias("top_columns")
+    )
+
+
+def run_report_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all, promote all, then that run's report over both logs the engine wrote."""
+    lake, _ = _loaded(spark, sf_dir, "report", absent=("zone_price",))
+    declare_silver(spark, lake, declared())
+    promote_all(spark, lake, declared(), Run("job", RUN.job_run_id, "promote", "2"), parallel=4)
+    logs = [audit_log(spark, lake, schema) for schema in (lake.bronze, lake.silver)]
+    days = [r[0] for r in logs[0].unionByName(logs[1]).select("run_date").distinct().collect()]
+    report = run_report(logs, RUN.job_run_id, days)
+    rows = report.select(
+        "task_id", F.regexp_extract("target_table", r"`([^`]+)`$", 1).alias("table_name"), "status", "record_count",
+        (F.length("failure_reason") > 0).alias("has_reason"), "total_tasks", "passed_tasks", "failed_tasks", "overall_status",
+    )
+    # The logs are read before their catalog entries go.
+    result = spark.createDataFrame(rows.collect(), rows.schema)
+    lake.drop_schemas(spark)
+    return result
 
 
 def contract_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,7 +460,7 @@ def streamed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         lines = read_new_files(spark, f"{root}/landing", _STREAMED, ingest_time=RUN_TIME)
         stream_bronze(lines, f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
-    result = spark.read.schema(_STREAMED.source_schema).parquet(f"{root}/bronze")
+    result = spark.read.schema(_STREAMED.source_schema).option("recursiveFileLookup", "true").parquet(f"{root}/bronze")
     return result.toDF(*[c.lower() for c in result.columns])
 
 
@@ -353,13 +468,20 @@ def streamed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landed_events(spark, sf_dir)
     lines = read_new_files(spark, f"{root}/landing", _STREAMED, ingest_time=RUN_TIME)
     stream_silver(lines, _STREAMED, f"{root}/silver", f"{root}/checkpoint").awaitTermination()
-    schema = T.StructType([*_STREAMED.schema.fields, T.StructField(SPLIT_COLUMN, T.BooleanType())])
-    return comparable(spark.read.schema(schema).parquet(f"{root}/silver"))
+    rows = spark.read.parquet(f"{root}/silver")
+    rows = rows.select(
+        *_STREAMED.schema.names, F.col(SPLIT_COLUMN).cast("boolean").alias(SPLIT_COLUMN),
+        F.array_join("failed_columns", ",").alias("failed_columns"), F.col("landed.ts").alias("landed_ts"),
+    )
+    return comparable(rows)
 
 
 # --- checks -----------------------------------------------------------------------
 
 _LINEITEM = checked_sql(plain(LINEITEM_DIRTY), LINEITEM)
+_LINEITEM_LANDED = _LINEITEM.replace(
+    " from (select ", " from (select " + ", ".join(f"src.{n} as landed_{n}" for n, _, _ in columns_of(LINEITEM)) + ", ", 1
+)
 _LINEITEM_COLUMNS = ", ".join(n for n, _, _ in columns_of(LINEITEM))
 _EVENT_COLUMNS = "event_id, ts, user_id, nullif(event_type, '') as event_type, value"
 
@@ -372,6 +494,26 @@ def _feed_counts(where: str = "") -> str:
     return f"select * from ({rows}) {where}"
 
 
+def _promoted_check(name: str) -> str:
+    """Rows, failing rows and the ten columns that fail most, of a promoted feed."""
+    contract = declared().lookup(name)
+    flags = checked_names(contract)
+    counts = ", ".join(f"cast(count(*) filter (where {c}__cast_fail) as bigint) as {c}" for c in flags)
+    ordered = " union all ".join(
+        f"select {i} as position, '{c}' as column_name, {c} as n from counted" for i, c in enumerate(flags)
+    )
+    top = (
+        "coalesce((select string_agg(column_name || ':' || n, ',' order by n desc, position) from "
+        f"(select * from ({ordered}) where n > 0 order by n desc, position limit 10)), '')"
+    )
+    return (
+        f"select * from (with counted as (select count(*) as total, cast(count(*) filter (where __row_failed) as bigint) as failed, {counts} "
+        f"from ({checked_sql(plain(feed_sql(name)), contract)})) "
+        f"select '{name}' as table_name, true as success, total as record_count, failed as cast_error_rows, "
+        f"case when total > 0 then failed / total * 100.0 else 0.0 end as cast_error_pct, {top} as top_columns from counted)"
+    )
+
+
 def _data_bytes(name: str) -> str:
     names = [n for n, _, _ in columns_of(declared().lookup(name))]
     fields = " + ".join(f"coalesce(strlen({n}), 0)" for n in names)
@@ -407,6 +549,36 @@ QUERIES = {
         "select count(*) as n_rows, cast(count(*) filter (where o_orderkey % 7 = 0 or o_orderkey % 11 = 3) as bigint) "
         "as n_malformed from orders",
     ),
+    "new_files_after_load": (
+        files_after_load,
+        f"select contract_num as contract_num, nullif(suspend_type, '') as suspend_type, case when suspend_type = '2' then 0 else 1 end as load "
+        f"from ({plain(feed_sql('suspend_contract'))})",
+    ),
+    "empty_landing_refused": (
+        empty_landing_refused,
+        "select cast(s as int) as success, cast(case s when 1 then 1 else 2 end as bigint) as loads, "
+        "case s when 1 then n else 0 end as logged, n as stored "
+        "from (select count(*) as n from orders), (values (0), (1)) v(s)",
+    ),
+    "single_file_load": (
+        single_file_load,
+        "select " + ", ".join(f"nullif({n}, '') as {n}" for n, _, _ in columns_of(declared().lookup("sin")))
+        + f" from ({plain(feed_sql('sin'))})",
+    ),
+    "load_reports_malformed": (
+        load_reports_malformed,
+        "select 'lines' as table_name, count(*) as record_count, "
+        "cast(count(*) filter (where o_orderkey % 7 = 0 or o_orderkey % 11 = 3) as bigint) as malformed_rows from orders",
+    ),
+    "run_report_end_to_end": (
+        run_report_end_to_end,
+        "with t as (select table_name, n, table_name <> 'zone_price' as ok from (" + _feed_counts() + ")), "
+        "r as (select 'load' as task_id, table_name, ok, case when ok then n else 0 end as n from t "
+        "union all select 'promote', table_name, true, n from t where ok) "
+        "select task_id, table_name, case when ok then 'SUCCESS' else 'FAILED' end as status, n as record_count, "
+        "not ok as has_reason, count(*) over () as total_tasks, cast(count(*) filter (where ok) over () as bigint) as passed_tasks, "
+        "cast(count(*) filter (where not ok) over () as bigint) as failed_tasks, 'FAILED' as overall_status from r",
+    ),
     "new_files": (
         unseen_files,
         "select o_orderstatus, count(*) as n_rows from orders where o_orderstatus <> 'F' group by 1",
@@ -448,17 +620,20 @@ QUERIES = {
     "silver_lineitem": (silver_lineitem, f"select {_LINEITEM_COLUMNS} from ({_LINEITEM})"),
     "silver_overwrite": (
         silver_overwrite,
-        "select 'GS-' || cast(o_orderkey as string) as contract_num, "
-        "cast(case o_orderstatus when 'F' then 2 else 1 end as int) as suspend_type from orders",
+        # A blank type gets the default, a bad one stays NULL.
+        f"select contract_num, case when suspend_type__cast_fail then null else coalesce(suspend_type, 1) end as suspend_type "
+        f"from ({checked_sql(plain(feed_sql('suspend_contract')), declared().lookup('suspend_contract'))})",
     ),
     "clustered_write": (clustered_write, f"select {_LINEITEM_COLUMNS} from ({_LINEITEM})"),
     "quarantine_write": (
         quarantine_write,
-        f"select {_LINEITEM_COLUMNS}, __row_failed as quarantined from ({_LINEITEM})",
+        f"select {_LINEITEM_COLUMNS}, __row_failed as quarantined, "
+        + ", ".join(f"case when __row_failed then landed_{n} end as landed_{n}" for n, _, _ in columns_of(LINEITEM))
+        + f" from ({_LINEITEM_LANDED})",
     ),
     "promote_all_outcomes": (
         promote_all_outcomes,
-        f"select table_name, true as success, n as record_count from ({_feed_counts()})",
+        " union all ".join(_promoted_check(n) for n in FEEDS),
     ),
     "contract_ddl": (
         contract_ddl,
@@ -470,7 +645,9 @@ QUERIES = {
     ),
     "stream_silver": (
         streamed_silver,
-        "select event_id, ts, user_id, __row_failed as dq_failed "
-        f"from ({checked_sql(plain(EVENTS_DIRTY), EVENTS)})",
+        "select event_id, ts, user_id, __row_failed as dq_failed, "
+        "concat_ws(',', case when event_id__cast_fail then 'event_id' end, case when ts__cast_fail then 'ts' end, "
+        "case when user_id__cast_fail then 'user_id' end) as failed_columns, case when __row_failed then landed_ts end as landed_ts "
+        f"from ({checked_sql(plain(EVENTS_DIRTY), EVENTS).replace(' from (select ', ' from (select nullif(src.ts, repeat(chr(32), 0)) as landed_ts, ', 1)})",
     ),
 }

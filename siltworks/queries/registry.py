@@ -13,7 +13,8 @@ ALL = {**loads.QUERIES, **typing.QUERIES, **constraints.QUERIES, **runs.QUERIES}
 def _tuned(run):
     @wraps(run)
     def call(spark, sf_dir):
-        return run(tune(spark), sf_dir)
+        # A session of its own: the caller's settings and views stay as they are.
+        return run(tune(spark.newSession()), sf_dir)
 
     return call
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltworks.plans import runs
 from siltworks.queries.inputs import BRONZE_LOG, SILVER_LOG, dirty, plain
@@ -15,11 +18,13 @@ def _logs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def run_task_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The report reads a log table by name, so the union gets one for the session.
-    view = "siltworks_run_log"
+    # The report reads a log table by name; the view is resolved when the query is made.
+    view = f"run_log_{uuid.uuid4().hex}"
     bronze, silver = _logs(spark, sf_dir)
     bronze.unionByName(silver).createOrReplaceTempView(view)
-    return runs.run_task_status(spark, view, RUN_ID)
+    report = runs.run_task_status(spark, view, RUN_ID)
+    spark.catalog.dropTempView(view)
+    return report
 
 
 def audit_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +43,9 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_task_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.run_task_report(runs.audit_union(*_logs(spark, sf_dir)))
+    """The lines of one run, sorted last."""
+    lines = runs.run_task_report(runs.run_rows(_logs(spark, sf_dir), RUN_ID))
+    return lines.orderBy(F.col("start_time").asc_nulls_first(), "job_run_id", "task_id", "task_run_id")
 
 
 _UNION = f"({plain(BRONZE_LOG)} union all {plain(SILVER_LOG)})"
@@ -79,6 +86,6 @@ QUERIES = {
         "select job_run_id, task_id, task_run_id, target_table, "
         "case when success = 1 then 'SUCCESS' else 'FAILED' end as status, start_time, end_time, "
         "coalesce(record_count, 0) as record_count, coalesce(failure_reason, '') as failure_reason "
-        f"from {_UNION}",
+        f"from {_UNION} where job_run_id = '{RUN_ID}'",
     ),
 }

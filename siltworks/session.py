@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,14 +43,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder the session names.
-
-    Written tables have to be readable from every executor, so a machine-local
-    folder is only used where driver and executors are one process.
-    """
+    """A new path below the shared folder the session names, which every executor can read."""
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder all executors can reach")
-        base = tempfile.gettempdir()
+        raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder all executors can reach")
     return f"{base.rstrip('/')}/siltworks/{label}-{uuid.uuid4().hex}"

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable
+import logging
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import astuple, dataclass, replace
-from datetime import datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from siltworks.sinks.lake import AUDIT_TABLE, Lake
+from siltworks.sinks.logs import AppendLog
 
 # The log's columns.
 AUDIT_SCHEMA = T.StructType(
@@ -62,35 +64,59 @@ class Run:
         )
 
 
-def _folder(lake: Lake, schema: str) -> str:
-    return f"{lake.root.rstrip('/')}/{schema}/{AUDIT_TABLE}"
+def log_of(lake: Lake, schema: str) -> AppendLog:
+    return AppendLog(lake, schema, AUDIT_TABLE, AUDIT_SCHEMA)
 
 
 def ensure_audit_log(spark: SparkSession, lake: Lake, schema: str) -> str:
-    table = lake.table(schema, AUDIT_TABLE)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in AUDIT_SCHEMA)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet "
-        f"OPTIONS (recursiveFileLookup 'true') LOCATION '{_folder(lake, schema)}'"
-    )
-    return table
+    return log_of(lake, schema).ensure(spark)
+
+
+def _day(row: AuditRow) -> date:
+    moment = row.start_time or row.end_time or datetime.now(timezone.utc)
+    return (moment.astimezone(timezone.utc) if moment.tzinfo else moment).date()
 
 
 def append_audit(spark: SparkSession, lake: Lake, schema: str, rows: Iterable[AuditRow]) -> None:
-    """Add rows to the log.
+    """Add rows to the log, each to the day it started."""
+    by_day: dict[date, list[AuditRow]] = {}
+    for row in rows:
+        by_day.setdefault(_day(row), []).append(row)
+    for day, members in by_day.items():
+        frame = spark.createDataFrame([astuple(r) for r in members], AUDIT_SCHEMA)
+        log_of(lake, schema).append(frame, day)
+
 
-    Each append goes to a folder of its own below the log's: loads that end at the same
-    time, in one job or in several, would otherwise share one commit folder and remove
-    each other's files.
+@contextmanager
+def audited(spark: SparkSession, lake: Lake, schema: str, run: Run, **known) -> Iterator[dict]:
+    """One audit row for what happens inside, also if it fails; the block fills in its values.
+
+    If both the block and the log fail, the block's error is raised and the log's is logged.
     """
-    table = ensure_audit_log(spark, lake, schema)
-    frame = spark.createDataFrame([astuple(r) for r in rows], AUDIT_SCHEMA)
-    # A handful of rows: one task and one small file per append.
-    frame.coalesce(1).write.parquet(f"{_folder(lake, schema)}/append-{uuid.uuid4().hex}")
-    spark.catalog.refreshTable(table)
+    values = {"start_time": datetime.now(timezone.utc), "success": 0, "record_count": 0, **known}
+    failed = None
+    try:
+        yield values
+        values["success"] = 1
+    except Exception as error:
+        failed = error
+        values |= {"failure_reason": str(error), "record_count": 0}
+        raise
+    finally:
+        values["end_time"] = datetime.now(timezone.utc)
+        try:
+            append_audit(spark, lake, schema, [run.row(**values)])
+        except Exception:
+            if failed is None:
+                raise
+            logging.getLogger(__name__).exception("the audit row of a failed load was not written")
 
 
 def audit_log(spark: SparkSession, lake: Lake, schema: str) -> DataFrame:
-    table = ensure_audit_log(spark, lake, schema)
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
+    """All rows, with the day they are filed under (``run_date``)."""
+    return log_of(lake, schema).read(spark)
+
+
+def compact_audit(spark: SparkSession, lake: Lake, schema: str, before: date) -> list[str]:
+    """Rewrite the closed days before ``before`` as one file each."""
+    return log_of(lake, schema).compact(spark, before)

@@ -7,17 +7,22 @@ the table as it was, and nothing is overwritten while it is being read.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.contracts import Contract
+from siltworks.contracts.model import quote
 
 # The internal table names a load never takes for data.
 AUDIT_TABLE = "etl_log"
+LEDGER_TABLE = "etl_files"
 QUARANTINE_SUFFIX = "_dq_quarantine"
 
 
@@ -39,7 +44,7 @@ class Lake:
         for schema in (self.bronze, self.silver):
             spark.sql(
                 f"CREATE SCHEMA IF NOT EXISTS `{schema}` "
-                f"LOCATION '{self.root.rstrip('/')}/_schemas/{schema}'"
+                f"LOCATION {quote(f'{self.root.rstrip("/")}/_schemas/{schema}')}"
             )
 
     def drop_schemas(self, spark: SparkSession) -> None:
@@ -60,8 +65,7 @@ def publish_contract(
     if spark.catalog.tableExists(table) and _declares(spark, table, contract):
         _point_at(spark, table, location)
         return
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(contract.create_table_sql(table, location))
+    _replace(spark, lake, schema, contract.name, lambda new: contract.create_table_sql(new, location))
 
 
 def publish_frame(
@@ -79,10 +83,25 @@ def publish_frame(
         if [(f.name, f.dataType) for f in had] == [(f.name, f.dataType) for f in merged]:
             _point_at(spark, table, location)
             return
-        spark.sql(f"DROP TABLE {table}")
         columns = merged
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-    spark.sql(f"CREATE TABLE {table} ({ddl}) USING parquet LOCATION '{location}'")
+    _replace(
+        spark, lake, schema, name, lambda new: f"CREATE TABLE {new} ({ddl}) USING parquet LOCATION {quote(location)}"
+    )
+
+
+def withdraw(spark: SparkSession, lake: Lake, schema: str, name: str) -> None:
+    """Take a table out of the catalog; its files stay until they expire."""
+    spark.sql(f"DROP TABLE IF EXISTS {lake.table(schema, name)}")
+
+
+def _replace(spark: SparkSession, lake: Lake, schema: str, name: str, create) -> None:
+    """Declare a table anew. It is created under another name first, so that an error there
+    leaves the old one as it was."""
+    table, new = lake.table(schema, name), lake.table(schema, f"{name}_{uuid.uuid4().hex[:12]}")
+    spark.sql(create(new))
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
 
 
 def _declares(spark: SparkSession, table: str, contract: Contract) -> bool:
@@ -95,20 +114,68 @@ def _declares(spark: SparkSession, table: str, contract: Contract) -> bool:
 
 
 def _point_at(spark: SparkSession, table: str, location: str) -> None:
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {quote(location)}")
     spark.catalog.refreshTable(table)
 
 
-def clustered(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+#: Bytes of staged files that one clustered file is made from.
+CLUSTER_FILE_BYTES = 256 << 20
+
+
+def cluster_files(staged_bytes: int, target: int = CLUSTER_FILE_BYTES) -> int:
+    """How many files a clustered write makes of staged files of this size."""
+    return max(1, -(-staged_bytes // target))
+
+
+def clustered(df: DataFrame, keys: tuple[str, ...], files: int) -> DataFrame:
     """Rows ordered across and within files by ``keys`` for min/max pruning on read.
 
     The row number spreads a key that alone holds more than a partition's worth over
-    several partitions; ranges on the keys only would put all its rows in one task.
+    several partitions; ranges on the keys only would put all its rows in one task. The number of
+    files is the caller's, from the data's size: the session's setting does not grow with it.
     """
     spread = "__spread"
     return (
         df.withColumn(spread, F.monotonically_increasing_id())
-        .repartitionByRange(*[F.col(k) for k in keys], F.col(spread))
+        .repartitionByRange(files, *[F.col(k) for k in keys], F.col(spread))
         .sortWithinPartitions(*keys)
         .drop(spread)
     )
+
+
+def load_folders(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every load's folder below the lake: schema, table, folder, bytes and last write."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    part = lambda i: F.regexp_extract("path", r"^(.*/([^/]+)/([^/]+)/load-[0-9a-f]{32})/", i)
+    return (
+        files.load(lake.root)
+        .select(part(1).alias("folder"), part(2).alias("schema"), part(3).alias("name"), "length", "modificationTime")
+        .where("folder <> ''")
+        .groupBy("schema", "name", "folder")
+        .agg(F.sum("length").alias("bytes"), F.max("modificationTime").alias("written"))
+    )
+
+
+def expire(spark: SparkSession, lake: Lake, *, keep: int = 1, delete: bool = False) -> DataFrame:
+    """Folders of loads no table reads any more, but for the ``keep`` newest of each table.
+
+    Superseded, refused and failed loads stay on disk until someone asks for this; nothing
+    in the package does. Without ``delete`` the folders are only listed.
+    """
+    read = set()
+    for schema in (lake.bronze, lake.silver):
+        for row in spark.sql(f"SHOW TABLES IN `{schema}`").where("NOT isTemporary").collect():
+            read.add(re.sub(r"^[a-z0-9]+:/*", "/", lake.location(spark, schema, row["tableName"])))
+    folder = F.regexp_replace("folder", r"^[a-zA-Z0-9]+:/*", "/")
+    loads = load_folders(spark, lake)
+    in_use = reduce(or_, [F.lit(at).startswith(folder) for at in sorted(read)], F.lit(False))
+    newest = Window.partitionBy("schema", "name").orderBy(F.desc("written"), "folder")
+    unused = loads.where(~in_use).withColumn("rank", F.row_number().over(newest)).where(F.col("rank") > keep).drop("rank")
+    if delete:
+        rows = unused.collect()  # folder names
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for row in rows:
+            path = hadoop(row["folder"])
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return spark.createDataFrame(rows, unused.schema)
+    return unused

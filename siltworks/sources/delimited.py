@@ -22,9 +22,28 @@ def _local_path(path: str) -> str:
     return path.removeprefix("dbfs:")
 
 
+def delimited_reader(reader, schema: T.StructType, *, keep_corrupt: bool = False, match_header: bool = False):
+    """The extract's format on a batch or stream reader. The schema gains CORRUPT with ``keep_corrupt``."""
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return (
+        reader.schema(schema)
+        .option("sep", SEPARATOR)
+        .option("header", "true")
+        .option("encoding", ENCODING)
+        .option("mode", "PERMISSIVE")
+        .option("maxCharsPerColumn", "-1")
+        .option("enforceSchema", str(not match_header).lower())
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        # A pruned scan would not notice missing or surplus fields.
+        .option("columnPruning", str(not keep_corrupt).lower())
+        .option("pathGlobFilter", FILE_PATTERN)
+    )
+
+
 def scan_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     *,
     keep_corrupt: bool = False,
@@ -38,46 +57,39 @@ def scan_delimited(
     that differs from the schema an error. ``multi_line`` allows line breaks inside
     quotes but stops Spark from splitting files, so one file becomes one task.
     """
-    if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    return (
-        spark.read.schema(schema)
-        .option("sep", SEPARATOR)
-        .option("header", "true")
-        .option("encoding", ENCODING)
-        .option("mode", "PERMISSIVE")
-        .option("maxCharsPerColumn", "-1")
-        .option("enforceSchema", str(not match_header).lower())
-        .option("multiLine", str(multi_line).lower())
-        .option("pathGlobFilter", FILE_PATTERN)
-        # A pruned scan would not notice missing or surplus fields.
-        .option("columnPruning", str(not keep_corrupt).lower())
-        .csv(_local_path(path))
-    )
+    reader = delimited_reader(spark.read, schema, keep_corrupt=keep_corrupt, match_header=match_header)
+    paths = [path] if isinstance(path, str) else path
+    return reader.option("multiLine", str(multi_line).lower()).csv([_local_path(p) for p in paths])
 
 
-def source_files(spark: SparkSession, folder: str) -> DataFrame:
+def source_files(spark: SparkSession, folder: str, *, below: bool = False) -> DataFrame:
     """The text files of a landing folder: path, bytes, modification time.
 
-    Only the listing is read; the unselected content column is never loaded.
+    Only the listing is read; the unselected content column is never loaded. A load takes
+    the folder's own files, as the scan does; ``below`` lists the folders in it too.
     """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", FILE_PATTERN)
-        .option("recursiveFileLookup", "true")
+        .option("recursiveFileLookup", str(below).lower())
         .load(_local_path(folder))
         .select("path", "length", "modificationTime")
     )
 
 
-def resolve_source_file(spark: SparkSession, folder: str) -> str:
-    """The single text file of a folder; none or several is an error."""
-    found = [r["path"] for r in source_files(spark, folder).select("path").limit(2).collect()]
+def landed_paths(files: DataFrame, folder: str, *, single: bool = False) -> list[str]:
+    """Paths of a listing, sorted. None is an error, and so are several where one is wanted."""
+    found = sorted(r["path"] for r in files.select("path").collect())
     if not found:
-        raise FileNotFoundError(f"no .txt file in {folder}")
-    if len(found) > 1:
-        raise ValueError(f"expected one .txt file in {folder}, found more: {sorted(found)}")
-    return found[0]
+        raise FileNotFoundError(f"no .txt file to load in {folder}")
+    if single and len(found) > 1:
+        raise ValueError(f"expected one .txt file in {folder}, found {len(found)}: {found}")
+    return found
+
+
+def resolve_source_file(spark: SparkSession, folder: str) -> str:
+    """The single text file of a folder; none or several is an error that names them all."""
+    return landed_paths(source_files(spark, folder), folder, single=True)[0]
 
 
 def source_file_census(spark: SparkSession, landing: str, tables: list[str]) -> DataFrame:
@@ -87,7 +99,7 @@ def source_file_census(spark: SparkSession, landing: str, tables: list[str]) ->
     """
     folder = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
     found = (
-        source_files(spark, landing)
+        source_files(spark, landing, below=True)
         .groupBy(folder.alias("table_name"))
         .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
     )

@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siltworks.contracts import Contract
-from siltworks.operators.projection import ROW_FAILED, check_contract
-from siltworks.plans.silver import SPLIT_COLUMN
-from siltworks.sources.delimited import ENCODING, FILE_PATTERN, SEPARATOR, add_provenance
+from siltworks.operators.projection import (
+    RAW_PREFIX,
+    ROW_FAILED,
+    check_contract,
+    failed_columns,
+    raw_names,
+)
+from siltworks.operators.quality import DqReport, metric_columns
+from siltworks.plans.bronze import LOG
+from siltworks.plans.silver import LANDED, SPLIT_COLUMN
+from siltworks.sinks.audit import Run, audited
+from siltworks.sinks.lake import Lake
+from siltworks.sources.delimited import _local_path, add_provenance, delimited_reader
+
+#: A file is never too old to be loaded: late deliveries and restored backlogs carry old dates.
+NO_AGE_LIMIT = "36500d"
+#: Bytes a batch takes, so that a first backlog is not a single one.
+BATCH_BYTES = 64 << 30
 
 
 def read_new_files(
@@ -20,56 +36,85 @@ def read_new_files(
     contract: Contract,
     *,
     archive_to: str | None = None,
-    max_bytes_per_trigger: int | None = None,
+    max_bytes_per_trigger: int = BATCH_BYTES,
     ingest_time: datetime | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """A stream of the lines of files arriving in ``folder``, with provenance.
 
     ``archive_to`` moves a file away after a later batch has committed. It only keeps
     the folder short: what has been loaded is known from the checkpoint.
     """
-    reader = (
-        spark.readStream.schema(contract.source_schema)
-        .option("sep", SEPARATOR)
-        .option("header", "true")
-        .option("encoding", ENCODING)
-        .option("mode", "PERMISSIVE")
-        .option("maxCharsPerColumn", "-1")
-        .option("pathGlobFilter", FILE_PATTERN)
-    )
+    reader = delimited_reader(spark.readStream, contract.source_schema, keep_corrupt=keep_corrupt)
+    reader = reader.option("maxFileAge", NO_AGE_LIMIT).option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if archive_to:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
-    if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
-    return add_provenance(reader.csv(folder), ingest_time)
+    return add_provenance(reader.csv(_local_path(folder)), ingest_time)
+
 
+def _batches(
+    lines: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], int], lake: Lake | None, schema: str, target: str, run: Run
+) -> StreamingQuery:
+    """Write each batch with ``write`` and, with a lake, one audit row per batch."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        if lake is None:
+            write(rows, number)
+            return
+        with audited(rows.sparkSession, lake, schema, run, target_table=target, source_table=f"batch {number}") as entry:
+            entry["record_count"] = write(rows, number)
 
-def stream_bronze(lines: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append whatever is new to Bronze files and stop."""
     return (
-        lines.writeStream.format("parquet")
-        .option("path", target)
+        lines.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def stream_bronze(
+    lines: DataFrame, target: str, checkpoint: str, *, lake: Lake | None = None, run: Run = Run()
+) -> StreamingQuery:
+    """Append whatever is new to Bronze files and stop.
+
+    A batch owns the folder ``batch=N`` and overwrites it when it is run again after a failure.
+    """
+
+    def write(rows: DataFrame, number: int) -> int:
+        counted = Observation()
+        rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        return counted.get["n"]
+
+    return _batches(lines, checkpoint, write, lake, lake.bronze if lake else "", target, run)
+
+
 def stream_silver(
-    lines: DataFrame, contract: Contract, target: str, checkpoint: str
+    lines: DataFrame,
+    contract: Contract,
+    target: str,
+    checkpoint: str,
+    *,
+    lake: Lake | None = None,
+    run: Run = Run(),
 ) -> StreamingQuery:
-    """Append new lines typed, valid and failing rows in separate partitions.
+    """Append new lines typed, valid and failing rows in separate partitions of each batch.
 
-    The casts are the batch ones. No state is kept, so a batch costs only its own files.
+    The casts are the batch ones, and a failing row keeps its landed text and the names of
+    the columns that failed. No state is kept, so a batch costs only its own files.
     """
-    typed = check_contract(lines, contract).select(
-        *contract.schema.names, F.col(ROW_FAILED).alias(SPLIT_COLUMN)
-    )
-    return (
-        typed.writeStream.format("parquet")
-        .partitionBy(SPLIT_COLUMN)
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def write(rows: DataFrame, number: int) -> int:
+        checked, measured = check_contract(rows, contract, keep_raw=True), Observation()
+        landed = F.struct(*[F.col(RAW_PREFIX + c).alias(c) for c in raw_names(checked)])
+        checked.observe(measured, *metric_columns(checked)).select(
+            *contract.schema.names,
+            F.when(F.col(ROW_FAILED), landed).alias(LANDED),
+            failed_columns(checked).alias("failed_columns"),
+            F.col(ROW_FAILED).alias(SPLIT_COLUMN),
+        ).write.mode("overwrite").partitionBy(SPLIT_COLUMN).parquet(f"{target}/batch={number}")
+        report = DqReport.of(measured.get)
+        if report.cast_error_rows:
+            LOG.warning(report.message(f"{contract.name}, batch {number}"))
+        return report.total_rows
+
+    return _batches(lines, checkpoint, write, lake, lake.silver if lake else "", target, run)

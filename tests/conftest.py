@@ -1,6 +1,6 @@
 import os
 import sys
-import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import SparkSession
@@ -11,7 +11,7 @@ from siltworks.session import configure  # noqa: E402
 
 
 def make_session():
-    scratch = tempfile.mkdtemp(prefix="siltworks-test-")
+    scratch = f"{os.environ.get('SILTWORKS_TEST_SHARED', '/tmp/siltworks-test')}/{uuid.uuid4().hex}"
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("siltworks-tests")

@@ -47,9 +47,9 @@ def test_not_null_audit_counts_zero_too(spark):
 
 def test_defaults(spark):
     now = datetime(2024, 1, 31, 6, 30)
-    rows = fill_defaults(project_contract(source(spark), CONTRACT), CONTRACT, now).collect()
+    rows = fill_defaults(check_contract(source(spark), CONTRACT), CONTRACT, now).collect()
     assert [(r["tag"], r["n"], r["at"]) for r in rows] == [
-        ("a", 5, now), ("blank", 0, now), ("blank", 0, datetime(2024, 1, 5)),
+        ("a", 5, now), ("blank", 0, now), ("blank", None, datetime(2024, 1, 5)),
     ]
 
 

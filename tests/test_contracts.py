@@ -13,9 +13,9 @@ from siltworks.sinks.lake import _declares
 
 def test_declared(spark):
     registry = declared()
-    assert registry.names() == sorted(registry.names()) and len(registry.names()) == 13
+    assert registry.names() == sorted(registry.names()) and len(registry.names()) == 19
     fields = [f for c in registry for f in c.schema]
-    assert len(fields) == 161
+    assert len(fields) == 560
     price = registry.lookup("price_discount")
     assert price.schema["disc_pct"].dataType.simpleString() == "decimal(4,2)"
     assert "mfr_name" in price.required and price.defaults["mfr_name"] == "'blank'"

@@ -1,15 +1,18 @@
 import threading
 import uuid
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from siltworks.contracts import Contract, Registry
 from siltworks.operators.quality import Gate, GateRefused
-from siltworks.plans.bronze import load_all, load_bronze, run_tables, write_bronze
-from siltworks.plans.silver import declare_silver, promote_all, promote_silver
-from siltworks.sinks.audit import Run, append_audit, audit_log
-from siltworks.sinks.lake import Lake, clustered
+from siltworks.plans.bronze import Outcome, load_all, load_bronze, run_tables, write_bronze
+from siltworks.plans.runs import run_task_status
+from siltworks.plans.silver import declare_silver, promote_all, promote_silver, write_clustered
+from siltworks.sinks.audit import Run, append_audit, audit_log, compact_audit
+from siltworks.sinks.lake import Lake, clustered, expire, load_folders
+from siltworks.sources.ledger import file_ledger
 from siltworks.sources.tables import tables_to_process
 
 ITEMS = Contract(
@@ -43,7 +46,7 @@ def rows(spark, lake, schema, name="items"):
 
 def test_bronze_load_is_logged(spark, lake, tmp_path):
     landing = land(tmp_path, "1^|~$2.50^|~a", "x^|~^|~")
-    assert load_bronze(spark, lake, ITEMS, landing, RUN) == 2
+    assert load_bronze(spark, lake, ITEMS, landing, RUN).total_rows == 2
     bronze = spark.table(lake.table(lake.bronze, "items"))
     assert bronze.columns == ["ID", "PRICE", "TAG", "ingest_ts", "input_file_name"]
     assert {r["input_file_name"] for r in bronze.collect()} == {"a.txt"}
@@ -70,7 +73,7 @@ def test_failed_load_leaves_the_table_and_a_log_row(spark, lake, tmp_path):
     assert [r[0] for r in rows(spark, lake, lake.bronze)] == ["1"]
     log = audit_log(spark, lake, lake.bronze).filter("success = 0").first()
     assert "expected one" in log["failure_reason"] and log["record_count"] == 0 and log["source_file_path"] is None
-    assert load_bronze(spark, lake, ITEMS, landing, single_file=False) == 2
+    assert load_bronze(spark, lake, ITEMS, landing, single_file=False).total_rows == 2
 
 
 def test_bronze_keeps_columns_a_later_load_lacks(spark, lake):
@@ -82,7 +85,7 @@ def test_bronze_keeps_columns_a_later_load_lacks(spark, lake):
 
 
 def test_empty_load(spark, lake, tmp_path):
-    assert load_bronze(spark, lake, ITEMS, land(tmp_path)) == 0
+    assert load_bronze(spark, lake, ITEMS, land(tmp_path)).total_rows == 0
     assert promote_silver(spark, lake, ITEMS).total_rows == 0
     assert rows(spark, lake, lake.silver) == []
 
@@ -130,13 +133,140 @@ def test_quarantine(spark, lake, cluster):
     bronze(spark, lake, ("1", "1", "a"), ("x", "y", "b"))
     promote_silver(spark, lake, ITEMS, quarantine=True, cluster=cluster)
     assert [r[0] for r in rows(spark, lake, lake.silver)] == [1]
-    assert rows(spark, lake, lake.silver, "items_dq_quarantine") == [(None, None, "b", ["id", "price"])]
+    aside = spark.table(lake.table(lake.silver, "items_dq_quarantine"))
+    assert [(r["tag"], tuple(r["landed"]), r["failed_columns"]) for r in aside.collect()] == [("b", ("x", "y", "b"), ["id", "price"])]
     bronze(spark, lake, ("1", "1", "a"))
     promote_silver(spark, lake, ITEMS, quarantine=True)
     assert rows(spark, lake, lake.silver, "items_dq_quarantine") == []
     bronze(spark, lake, ("x", "1", "a"))
     promote_silver(spark, lake, ITEMS, quarantine=True)
     assert rows(spark, lake, lake.silver) == []
+    # What an earlier load put aside is gone with the next plain one.
+    promote_silver(spark, lake, ITEMS)
+    assert not spark.catalog.tableExists(lake.table(lake.silver, "items_dq_quarantine"))
+
+
+def test_defaults_are_not_written_over_failed_casts(spark, lake):
+    contract = Contract(name="items", columns="id INT, ok BOOLEAN, n INT", defaults={"ok": "false", "n": "0"})
+    write_bronze(spark, lake, "items", spark.createDataFrame([("1", "maybe", "bad"), ("2", " ", None)], "ID string, OK string, N string"))
+    promote_silver(spark, lake, contract, defaults=True)
+    assert rows(spark, lake, lake.silver) == [(1, None, None), (2, False, 0)]
+    write_bronze(spark, lake, "items", spark.createDataFrame([("1",)], "ID string"))
+    fresh = Contract(name="items", columns="id INT, ok BOOLEAN NOT NULL", defaults={"ok": "false"})
+    lake.drop_schemas(spark)
+    lake.create_schemas(spark)
+    write_bronze(spark, lake, "items", spark.createDataFrame([("1",)], "ID string"))
+    promote_silver(spark, lake, fresh, defaults=True)
+    assert rows(spark, lake, lake.silver) == [(1, False)]
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_empty_folder_is_refused(spark, lake, tmp_path, single):
+    load_bronze(spark, lake, ITEMS, land(tmp_path, "1^|~1^|~a"))
+    (tmp_path / "later" / "items").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        load_bronze(spark, lake, ITEMS, str(tmp_path / "later"), single_file=single)
+    assert [r[0] for r in rows(spark, lake, lake.bronze)] == ["1"]
+    log = audit_log(spark, lake, lake.bronze).filter("success = 0").collect()
+    assert len(log) == 1 and "no .txt file" in log[0]["failure_reason"]
+
+
+def test_new_files_are_loaded_once(spark, lake, tmp_path):
+    def load():
+        load_bronze(spark, lake, ITEMS, landing, single_file=False, only_new=True)
+        return [r[0] for r in rows(spark, lake, lake.bronze)]
+
+    landing = land(tmp_path, "1^|~1^|~a")
+    assert load() == ["1"]
+    land(tmp_path, "2^|~2^|~b", file="b.txt")
+    land(tmp_path, file="header_only.txt")
+    assert load() == ["2"]
+    with pytest.raises(FileNotFoundError):
+        load()
+    land(tmp_path, "3^|~3^|~corrected", file="a.txt")
+    assert load() == ["3"]
+    assert file_ledger(spark, lake).count() == 4
+
+
+def test_archive_below_the_folder_is_not_loaded(spark, lake, tmp_path):
+    landing = land(tmp_path, "1^|~1^|~a")
+    (tmp_path / "landing" / "items" / "archive").mkdir()
+    (tmp_path / "landing" / "items" / "archive" / "old.txt").write_text("ID^|~PRICE^|~TAG\n9^|~9^|~z\n")
+    assert load_bronze(spark, lake, ITEMS, landing).total_rows == 1
+
+
+def test_malformed_lines_are_reported(spark, lake, tmp_path, caplog):
+    landing = land(tmp_path, "1^|~1^|~a", "2", "3^|~3^|~c^|~surplus")
+    report = load_bronze(spark, lake, ITEMS, landing)
+    assert (report.total_rows, report.malformed_rows) == (3, 2) and "2 of 3 lines" in caplog.text
+    assert rows(spark, lake, lake.bronze)[1][:3] == ("2", None, None)
+
+
+def test_measured_failures_are_in_the_outcomes(spark, lake, caplog):
+    bronze(spark, lake, ("x", "y", "a"), ("1", "z", "b"), ("2", "2", "c"))
+    declare_silver(spark, lake, Registry([ITEMS]))
+    out = promote_all(spark, lake, Registry([ITEMS]), RUN).first()
+    assert (out["cast_error_rows"], round(out["cast_error_pct"], 3)) == (2, 66.667)
+    assert [tuple(c) for c in out["top_columns"]] == [("price", 2), ("id", 1)]
+    assert "2 of 3 rows failed a cast" in caplog.text
+
+
+def test_error_of_a_load_is_not_hidden_by_its_log(spark, lake, tmp_path, monkeypatch):
+    def broken(*_):
+        raise OSError("log is down")
+
+    monkeypatch.setattr("siltworks.sinks.audit.append_audit", broken)
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "none" / "items").mkdir(parents=True)
+        load_bronze(spark, lake, ITEMS, str(tmp_path / "none"))
+    with pytest.raises(OSError, match="log is down"):
+        load_bronze(spark, lake, ITEMS, land(tmp_path, "1^|~1^|~a"))
+
+
+def test_failed_redeclaration_keeps_the_table(spark, lake, monkeypatch):
+    bronze(spark, lake, ("1", "1", "a"))
+    promote_silver(spark, lake, ITEMS)
+    changed = Contract(name="items", columns="id INT NOT NULL, price DECIMAL(8,2), tag STRING")
+    monkeypatch.setattr(Contract, "create_table_sql", lambda *_: "CREATE TABLE not valid")
+    with pytest.raises(Exception, match="(?i)syntax"):
+        promote_silver(spark, lake, changed)
+    assert [r[0] for r in rows(spark, lake, lake.silver)] == [1]
+
+
+def test_log_days_are_pruned_and_compacted(spark, lake):
+    for day in (1, 1, 1, 2, 3, 3):
+        append_audit(spark, lake, lake.bronze, [RUN.row(start_time=datetime(2024, 1, day, 5), target_table=str(day), success=1)])
+    log = lake.table(lake.bronze, "etl_log")
+    plan = run_task_status(spark, log, "run-1", [date(2024, 1, 1)])
+    assert plan.count() == 3 and "PartitionFilters: [isnotnull(run_date" in plan._jdf.queryExecution().toString()
+    assert compact_audit(spark, lake, lake.bronze, date(2024, 1, 3)) == ["2024-01-01"]
+    assert compact_audit(spark, lake, lake.bronze, date(2024, 1, 3)) == []
+    assert sorted(r["target_table"] for r in audit_log(spark, lake, lake.bronze).collect()) == list("111233")
+    assert spark.sql(f"SHOW PARTITIONS {log}").count() == 4
+
+
+def test_unread_folders_are_listed_and_removed_on_request_only(spark, lake):
+    for n in range(4):
+        bronze(spark, lake, (str(n), "1", "a"))
+    assert expire(spark, lake, keep=1).count() == 2
+    assert expire(spark, lake, keep=1, delete=True).count() == 2
+    assert load_folders(spark, lake).count() == 2 and expire(spark, lake, keep=0).count() == 1
+    assert [r[0] for r in rows(spark, lake, lake.bronze)] == ["3"]
+
+
+def test_more_bytes_make_more_clustered_files(spark, lake):
+    contract = Contract(name="t", columns="k INT, v BIGINT", cluster_by=("k",))
+    counts = []
+    for n in (20_000, 40_000):
+        # A third of the rows share one key.
+        df = spark.range(0, n, 1, 4).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).cast("int").alias("k"), F.rand(1).alias("r"))
+        staged, out = lake.new_location(lake.silver, "t"), lake.new_location(lake.silver, "t")
+        df.select("k", (F.col("r") * 2**62).cast("long").alias("v")).write.parquet(staged)
+        write_clustered(spark, contract, staged, out, 40_000)
+        rows_of = spark.read.parquet(out).groupBy(F.col("_metadata.file_name")).count().collect()
+        counts.append(len(rows_of))
+        assert max(r["count"] for r in rows_of) < n / 3
+    assert 1.7 <= counts[1] / counts[0] <= 2.3
 
 
 def test_clustered_files_hold_separate_ranges_even_for_one_hot_key(spark, tmp_path):
@@ -146,7 +276,7 @@ def test_clustered_files_hold_separate_ranges_even_for_one_hot_key(spark, tmp_pa
     before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled",)}
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        clustered(df, ("k",)).write.parquet(f"{tmp_path}/c")
+        clustered(df, ("k",), 8).write.parquet(f"{tmp_path}/c")
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -172,7 +302,7 @@ def test_run_tables_stops_at_the_first_error_or_collects(spark):
             seen.append(name)
         if name == "b":
             raise RuntimeError("no b")
-        return 1
+        return Outcome(name, True, 1)
 
     with pytest.raises(RuntimeError, match="no b"):
         run_tables(spark, ["c", "b", "a"], load)
@@ -180,7 +310,7 @@ def test_run_tables_stops_at_the_first_error_or_collects(spark):
     seen.clear()
     out = run_tables(spark, ["c", "b", "a"], load, fail_fast=False, parallel=3).collect()
     assert sorted(seen) == ["a", "b", "c"]
-    assert [tuple(r) for r in out] == [("a", True, 1, None), ("b", False, 0, "no b"), ("c", True, 1, None)]
+    assert [tuple(r)[:4] for r in out] == [("a", True, 1, None), ("b", False, 0, "no b"), ("c", True, 1, None)]
 
 
 def test_all_tables(spark, lake, tmp_path):

@@ -13,7 +13,6 @@ from siltworks.sources.delimited import (
     source_files,
 )
 from siltworks.sources.ledger import new_files
-from siltworks.sources.tables import spread
 
 def text(*names):
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -69,9 +68,13 @@ def test_provenance(spark, folder):
 
 
 def test_file_resolution(spark, folder, tmp_path_factory):
+    assert resolve_source_file(spark, str(folder)).endswith("/items.TXT")
+    (folder / "archive").mkdir()
+    (folder / "archive" / "old.txt").write_text("OID\n")
     assert resolve_source_file(spark, str(folder)).endswith("/items.TXT")
     (folder / "more.txt").write_text("OID\n")
-    with pytest.raises(ValueError, match="expected one"):
+    (folder / "third.txt").write_text("OID\n")
+    with pytest.raises(ValueError, match="found 3.*items.TXT.*more.txt.*third.txt"):
         resolve_source_file(spark, str(folder))
     with pytest.raises(FileNotFoundError):
         resolve_source_file(spark, str(tmp_path_factory.mktemp("empty")))
@@ -88,19 +91,15 @@ def test_census(spark, tmp_path):
     }
 
 
-def test_ledger(spark, tmp_path):
+def test_ledger_knows_files_not_folders(spark, tmp_path):
     for name in ("a/1.txt", "a/2.txt", "b/3.txt", "b/4.txt"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_text("x\n")
-    log = spark.createDataFrame(
-        [(f"{tmp_path}/a", 1), (f"file:{tmp_path}/b/3.txt", 1), (f"{tmp_path}/b/4.txt", 0), (None, 1)],
-        "source_file_path string, success int",
-    )
-    left = new_files(source_files(spark, str(tmp_path)), log).collect()
-    assert [r["path"].rsplit("/", 2)[-2:] for r in left] == [["b", "4.txt"]]
-
-
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    files = source_files(spark, str(tmp_path), below=True)
+    known = spark.createDataFrame([r for r in files.collect() if "/b/4" not in r["path"]], files.schema)
+    assert [r["path"].rsplit("/", 2)[-2:] for r in new_files(files, known).collect()] == [["b", "4.txt"]]
+    # A file that comes later into a known folder is new, and so is one that was written again.
+    (tmp_path / "a" / "5.txt").write_text("x\n")
+    (tmp_path / "b" / "3.txt").write_text("xy\n")
+    left = new_files(source_files(spark, str(tmp_path), below=True), known).collect()
+    assert sorted(r["path"][-7:] for r in left) == ["a/5.txt", "b/3.txt", "b/4.txt"]

@@ -1,5 +1,11 @@
+import os
+import time
+import uuid
+
 from siltworks.contracts import Contract
 from siltworks.operators.projection import ROW_FAILED, check_contract
+from siltworks.sinks.audit import Run, audit_log
+from siltworks.sinks.lake import Lake
 from siltworks.sources.delimited import scan_delimited
 from siltworks.streaming.ingest import read_new_files, stream_bronze, stream_silver
 
@@ -29,6 +35,33 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     assert names == {"a.txt", "b.TXT"}
 
 
+def test_old_files_are_loaded_too(spark, tmp_path):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    for name, age_days in (("a.txt", 0), ("b.txt", 365), ("c.txt", 0)):
+        put(landing, name, f"{name[0]}^|~")
+        moment = time.time() - age_days * 86400
+        os.utime(landing / name, (moment, moment))
+        stream_bronze(read_new_files(spark, str(landing), ITEMS), out, str(tmp_path / "cp")).awaitTermination()
+    assert sorted(r["ID"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def test_batches_are_logged_and_keep_what_failed(spark, tmp_path):
+    token = uuid.uuid4().hex[:8]
+    lake = Lake(str(tmp_path / "lake"), bronze=f"b_{token}", silver=f"s_{token}")
+    lake.create_schemas(spark)
+    landing = tmp_path / "landing"
+    for name, line in (("a.txt", "x^|~bad"), ("b.txt", "1^|~2024-01-05")):
+        put(landing, name, line)
+        lines = read_new_files(spark, str(landing), ITEMS)
+        stream_silver(lines, ITEMS, str(tmp_path / "out"), str(tmp_path / "cp"), lake=lake, run=Run("j", "r")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).orderBy("batch").collect()
+    assert [(r["id"], r["failed_columns"]) for r in got] == [(None, ["id", "at"]), (1, [])]
+    assert tuple(got[0]["landed"]) == ("x", "bad") and got[1]["landed"] is None
+    log = audit_log(spark, lake, lake.silver).collect()
+    assert sorted((r["source_table"], r["record_count"], r["success"]) for r in log) == [("batch 0", 1, 1), ("batch 1", 1, 1)]
+    lake.drop_schemas(spark)
+
+
 def test_stream_gives_what_batch_gives(spark, tmp_path):
     landing = tmp_path / "landing"
     put(landing, "a.txt", "1^|~2024-01-05", "x^|~01/05/2024")
