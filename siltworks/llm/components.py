@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from siltworks.llm.shared import written
 
 
-def _print(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 31)))).first()
-    return tuple(row)
+def _ended(edges: DataFrame) -> bool:
+    """Whether the edges (u, v) are stars by now: each u has one v, and no v is a u."""
+    end = lambda column, out: F.struct(F.col(column).alias("node"), F.lit(out).alias("out"))
+    ends = edges.select(F.inline(F.array(end("u", 1), end("v", 0))))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("low"))
+    return seen.where("out > 1 or (out > 0 and low = 0)").isEmpty()
 
 
 def _star(neighbours: DataFrame, large: bool) -> DataFrame:
@@ -23,9 +26,8 @@ def _star(neighbours: DataFrame, large: bool) -> DataFrame:
     least = neighbours.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     tied = neighbours.join(least, "u")
     if large:
-        out = tied.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        return tied.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    out = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return out.where("u <> v").distinct()
 
 
@@ -33,13 +35,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (its least node) of all nodes that occur in links; links are integers."""
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     edges = written(links.select(u, v).where("u <> v").distinct(), "edges")
-    seen = _print(edges)
-    while True:
+    while not _ended(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = written(_star(both, large=True), "large-star")
         edges = written(_star(edges, large=False), "small-star")
-        if (now := _print(edges)) == seen:
-            break
-        seen = now
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
