@@ -21,6 +21,7 @@ from siltworks.functions.formats import (
     UNEVEN_SPACE,
     US_MOMENT_TEXT,
     US_TEXT,
+    any_width,
     shape,
     starts_with_month_name,
 )
@@ -125,13 +126,14 @@ def _first_parse(text: Column, layouts: tuple[str, ...], attempt) -> Column:
 
     A failed parse costs a thrown exception per row, so each layout is only tried on
     text of its shape. Layouts that begin with a month name and layouts that begin
-    with a digit cannot both match, which halves the shapes to look at.
+    with a digit cannot both match, which halves the shapes to look at. Of named layouts that
+    differ in the width of day and hour only the widest is tried: it takes all their text.
     """
 
     def first(some):
         return F.coalesce(*[F.when(text.rlike(shape(f)), attempt(text, f)) for f in some])
 
-    named = [f for f in layouts if starts_with_month_name(f)]
+    named = list(dict.fromkeys(any_width(f) for f in layouts if starts_with_month_name(f)))
     numeric = [f for f in layouts if not starts_with_month_name(f)]
     return F.when(text.rlike(r"^\p{L}"), first(named)).otherwise(first(numeric))
 

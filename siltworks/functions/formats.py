@@ -81,5 +81,10 @@ def shape(layout: str) -> str:
     return "(?i)^" + "".join(parts) + "$"
 
 
+def any_width(layout: str) -> str:
+    """The layout with day and hour of one or two digits. Its value is the same for all text the stricter one takes."""
+    return re.sub(r"\bhh\b", "h", re.sub(r"\bdd\b", "d", layout))
+
+
 def starts_with_month_name(layout: str) -> bool:
     return layout.startswith("MMM")
