@@ -277,7 +277,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, D
     narrow = written(keyed.drop("text"), "texts-narrow")
     # Rows wholly alike share k; they are copies of each other.
     same = narrow.where(F.col("n_bytes") >= length).groupBy("sha256").agg(F.count("*").alias("n"), F.min("k").alias("first_k"))
-    copied = same.where("n > 1").select("sha256", "first_k")
+    copied = written(same.where("n > 1").select("sha256", "first_k"), "copied")
     marked = narrow.join(copied, "sha256", "left").withColumn("copied", F.col("first_k").isNotNull())
     marked = written(marked.select("doc_id", "k", "n_bytes", "sha256", "copied", (F.col("k") == F.col("first_k")).alias("first")), "texts-marked")
     chosen = marked.where((F.col("n_bytes") >= length) & (~F.col("copied") | F.col("first")))
