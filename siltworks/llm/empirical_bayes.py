@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm.shared import documents, written
+from siltworks.llm.shared import documents, whole_row, written
 
 #: Labelled documents the classifier is fitted on, chosen by hash. The bound is the only limit on them.
 MAX_LABELLED = 40_000
@@ -209,8 +209,9 @@ def verdict() -> Column:
     return F.col("_odds") + logit(prior) - logit(F.col("rate"))
 
 
-def _sited(docs: DataFrame, host: Column, path: Column, models: dict[str, Model]) -> DataFrame:
-    return docs.withColumns({"_host": host.cast("string"), "_path": path.cast("string"), "_odds": evidence(models, F.col("text"))})
+def _sited(models: dict[str, Model], host: str, path: str) -> list[Column]:
+    odds = evidence(models, F.col("text")).alias("_odds")
+    return [F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path"), odds]
 
 
 def _joined(rows: DataFrame, sites: DataFrame) -> DataFrame:
@@ -226,8 +227,7 @@ def _share(odds: Column) -> Column:
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", bound: int = MAX_LABELLED) -> DataFrame:
     """doc_id, host, path, text_odds, site_prior, p_bad and kept of every document."""
     models = fit(docs, labels, bound)
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(host).alias("_a"), F.col(path).alias("_b"))
-    rows = written(_sited(narrow, F.col("_a"), F.col("_b"), models).select("doc_id", "_host", "_path", "_odds"), "evidence")
+    rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_sited(models, host, path)), "evidence")
     sites = site_posteriors(rows.select("_host", "_path", _share(F.col("_odds")).alias("p")))
     judged = _joined(rows, sites).select("doc_id", "_host", "_path", "_odds", "_site.*")
     p_bad = _share(verdict())
@@ -243,10 +243,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: st
     Texts are judged twice, for the sites and for the verdicts, so they need not be written or shuffled.
     """
     models = fit(docs, labels, bound)
-    rows = _sited(docs, F.col(host), F.col(path), models)
+    rows = docs.select(whole_row(docs).alias("_row"), *_sited(models, host, path))
     sites = site_posteriors(rows.select("_host", "_path", _share(F.col("_odds")).alias("p")))
-    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    judged = _joined(rows.select(whole, "_host", "_path", "_odds"), written(sites, "sites")).select("_row", "_odds", "_site.*")
+    judged = _joined(rows, written(sites, "sites")).select("_row", "_odds", "_site.*")
     return judged.where(_share(verdict()) < REJECT_FROM).select("_row.*")
 
 

@@ -19,7 +19,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltworks.llm.shared import documents, written
+from siltworks.llm.shared import documents, whole_row, written
 
 BITS = 60
 SHARD_BYTES = 16 << 20
@@ -84,7 +84,7 @@ def shards(docs: DataFrame, limit: int = SHARD_BYTES, ahead: int = AHEAD, carry:
 
     ``carry`` adds ``row``, a struct of all columns.
     """
-    carried = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if carry else []
+    carried = [whole_row(docs).alias("row")] if carry else []
     text = F.col("text").cast("string")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), hash_bits(F.col("doc_id"), text).alias("h"),

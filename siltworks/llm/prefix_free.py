@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm.shared import documents, written
+from siltworks.llm.shared import documents, whole_row, written
 from siltworks.llm.tokens import bytes_of, powers
 
 LENGTH = 200
@@ -345,10 +345,11 @@ def dedup_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     cut = per_text(texts, starts, length, make, "cut_text string")
     gone = marked.where("copied").select("k", F.lit("").alias("cut_text")).distinct()
-    changed = cut.unionByName(gone).withColumnsRenamed({"k": "_k", "cut_text": "_cut_text"})
     content = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("_k_doc", F.xxhash64(F.col("doc_id").cast("long"), F.sha2(content, 256)))
-    return keyed.join(changed, F.col("_k_doc") == F.col("_k"), "left").withColumn("text", F.coalesce("_cut_text", "text")).select(*docs.columns)
+    keyed = docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.sha2(content, 256)).alias("k"), whole_row(docs).alias("row"))
+    rows = keyed.join(cut.unionByName(gone), "k", "left")
+    text = F.coalesce("cut_text", F.col("row.text")).alias("text")
+    return rows.select(*[text if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op10_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm.shared import documents, written
+from siltworks.llm.shared import documents, whole_row, written
 
 MIN_WORDS = 20
 WINDOW = 8
@@ -190,12 +190,11 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     Signals are taken twice, for the counts and for the verdicts, so texts need not be written or joined.
     """
-    s, p = "_signals", "_pattern"
-    measured = docs.withColumn(s, signals(F.col("text")))
-    counts = measured.select(pattern(s).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
+    measured = docs.select(whole_row(docs).alias("row"), signals(F.col("text")).alias("s"))
+    counts = measured.select(pattern("s").alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
     known = pattern_posteriors(docs.sparkSession, counts).where(F.col("posterior") >= KEEP_FROM)
-    good = F.broadcast(known.select(F.col("pattern").alias(p)))
-    return measured.where(~base_failed(s)).withColumn(p, pattern(s)).join(good, p, "leftsemi").select(*docs.columns)
+    passed = measured.where(~base_failed("s")).withColumn("pattern", pattern("s"))
+    return passed.join(F.broadcast(known.select("pattern")), "pattern", "leftsemi").select("row.*")
 
 
 def op3_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,7 +66,7 @@ def test_run_packs_every_survivor(spark, stages):
 def test_stages_take_empty_tables_and_further_columns(spark):
     from pyspark.sql import functions as F
 
-    docs = documents(spark, SMALL).limit(12).withColumns({"n": F.lit(1), "k": F.lit("x"), "_k": F.lit(2), "kept": F.lit(False)})
+    docs = documents(spark, SMALL).limit(12).withColumns({"n": F.lit(1), "k": F.lit("x"), "_k": F.lit(2), "kept": F.lit(False), "row": F.lit(1), "s": F.lit(1), "_row": F.lit(3), "a.b": F.lit(4)})
     nulls = docs.limit(2).withColumns({"doc_id": F.lit(None).cast("long"), "text": F.lit(None).cast("string"), "source": F.lit(None).cast("string")})
     for name, stage in cp.STAGES:
         empty = stage(spark, docs.where("false"), SMALL)
