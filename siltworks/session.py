@@ -19,6 +19,9 @@ SETTINGS = {
     # A contract of a dozen typed columns compiles to one method beyond the size the
     # JVM still optimises. Above this limit Spark uses its split-up projections instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A wide contract outgrows the 64 KB of a JVM method; Spark would compile it in vain and then
+    # fall back to the same split-up projections.
+    "spark.sql.codegen.maxFields": "60",
     # Timestamps as INT96 carry no min/max, so files could not be skipped on them.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.parquet.compression.codec": "zstd",
@@ -43,8 +46,9 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder the session names, which every executor can read."""
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder all executors can reach")
+    """A new path below the shared folder the session names, which every executor can read.
+
+    Without that setting it is the warehouse, the one other folder a session always names.
+    """
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/siltworks/{label}-{uuid.uuid4().hex}"
