@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,12 +13,8 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; a purely local session without it may use its own disk."""
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors reach")
-        base = os.path.join(tempfile.gettempdir(), "siltworks-local")
+    """A new path below ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/siltworks-llm/{label}-{uuid.uuid4().hex}"
 
 
