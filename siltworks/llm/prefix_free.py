@@ -44,7 +44,7 @@ from siltworks.llm.tokens import bytes_of, powers
 LENGTH = 200
 GRAM = 8
 #: Bytes of text parsed at once; a longer document is parsed alone.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)

@@ -22,11 +22,11 @@ import public_tokenizers
 import regex
 
 #: Pieces remembered by one Python worker before it starts anew (about 60 bytes each).
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Words remembered likewise (Python objects, about 200 bytes each).
-WORDS = 200_000
+WORDS = 100_000
 #: Bytes of text worked on at once.
-AT_ONCE = 2 << 20
+AT_ONCE = 1 << 20
 
 # Byte-level vocabularies write a byte as a printable character: itself, or one from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
