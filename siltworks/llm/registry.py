@@ -11,6 +11,7 @@ from siltworks.llm import (
     length_histogram,
     lsh_forest,
     prefix_free,
+    simhash,
     viterbi,
     weak_supervision,
 )
@@ -26,6 +27,7 @@ MODULES = [
     viterbi,
     elias_fano,
     prefix_free,
+    simhash,
 ]
 ALL = {name: found for module in MODULES for name, found in module.QUERIES.items()}
 
