@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from siltworks.llm import (
+    alignment,
     branch_bound,
     elias_fano,
     empirical_bayes,
     extendible,
     harmonic_packing,
+    importance,
     length_histogram,
     lsh_forest,
     prefix_free,
@@ -27,6 +29,8 @@ MODULES = [
     viterbi,
     elias_fano,
     prefix_free,
+    alignment,
+    importance,
     simhash,
 ]
 ALL = {name: found for module in MODULES for name, found in module.QUERIES.items()}
