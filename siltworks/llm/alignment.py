@@ -42,7 +42,9 @@ from siltworks.llm.words import blocks
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
 #: Bytes of text and number of texts in a block; a longer text is a block of its own.
-BLOCK, TEXTS = 3 << 20, 20_000
+BLOCK, TEXTS = 1 << 20, 20_000
+#: Pieces of text one side remembers before it starts anew.
+REMEMBERED = 250_000
 #: Bits of a key that count bytes; the others count the texts of a block.
 BYTES = 40
 
@@ -129,6 +131,8 @@ def token_lists(side: Encoder, texts: pa.Array) -> tuple[pa.ListArray, np.ndarra
     all_ids, counts, good = [], [], []
     for low, high, data, bounds in blocks(texts, AT_ONCE, TEXTS):
         ids, n = side.encode(texts.slice(low, high - low))
+        if len(side.hashes) > REMEMBERED:
+            side.forget()
         all_ids.append(ids.astype(np.int32))
         counts.append(n)
         good.append(spelled(side, ids, n, data, bounds))
@@ -182,7 +186,7 @@ def align(a: pa.ListArray, b: pa.ListArray, a_side: TokenBytes, b_side: TokenByt
 
 BLOCK_SCHEMA = (
     "block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "groups_sha256 array<string>, links array<int>, pairs array<long>, times array<long>"
+    "groups_sha256 array<string>, links binary, pairs array<long>, times array<long>"
 )
 
 
@@ -202,15 +206,28 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     a, b = (pc.if_else(bad, pa.scalar([], x.type), x) for x in (a, b))
                 found = align(a, b, a_side.bytes, b_side.bytes)
                 digest = [hashlib.sha256(g.as_buffer()).hexdigest() if g.as_buffer().size else "" for g in found.pop("groups")]
-                columns = [batch.column(0).slice(low, high - low), *(found[c] for c in names[2:6]), pa.array(digest, pa.string()), *(found[c] for c in names[7:])]
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *map(one_row, columns)], names)
+                columns = [batch.column(0).slice(low, high - low), *(found[c] for c in names[2:6]), pa.array(digest, pa.string())]
+                links = pa.array([packed(found["links"].to_numpy(), len(found["pairs"]))], pa.binary())
+                rows = [pa.array([block], pa.int64()), *map(one_row, columns), links, one_row(found["pairs"]), one_row(found["times"])]
+                yield pa.RecordBatch.from_arrays(rows, names)
                 block += 1
+                del a, b, found, columns, rows, links
+                pa.default_memory_pool().release_unused()
 
     text = F.col("text").cast("string")
     spaced = F.when(F.length(text) > 0, F.concat(F.lit(" "), text)).otherwise(F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), spaced.alias("text")).mapInArrow(work, BLOCK_SCHEMA)
 
 
+def _width(n_pairs: int) -> type:
+    return np.uint16 if n_pairs <= 1 << 16 else np.uint32
+
+
+def packed(links: np.ndarray, n_pairs: int) -> bytes:
+    """Places of links as bytes: Spark need not take each as a value."""
+    return links.astype(_width(n_pairs)).tobytes()
+
+
 def one_row(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -233,10 +250,11 @@ def per_document(aligned: DataFrame, counts: DataFrame) -> DataFrame:
         names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {name: batch.column(j)[i].values for j, name in enumerate(batch.schema.names) if name != "block"}
-                links, n_links = row["links"].to_numpy(), row["n_links"].to_numpy()
-                times, best = np.zeros(len(row["known"] or ()), np.int64), np.zeros(len(row["known"] or ()), np.int64)
-                if len(times):
+                row = {name: batch.column(j)[i].values for j, name in enumerate(batch.schema.names) if name not in ("block", "links")}
+                n_links, n_pairs = row["n_links"].to_numpy(), len(row["known"] or ())
+                links = np.frombuffer(batch.column("links")[i].as_buffer(), _width(n_pairs))
+                times, best = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
+                if n_pairs:
                     at = row["known"].field(0).to_numpy()
                     times[at] = row["known"].field(1).to_numpy()
                     best[at] = row["known"].field(2).to_numpy(zero_copy_only=False)
