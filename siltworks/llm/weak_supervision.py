@@ -7,9 +7,15 @@ as counts of voting patterns: at most three to the power of the rules, whatever
 up by the workers. The posterior of a pattern then holds for all its documents, and replaces the
 demand that all rules pass.
 
-What tells the two classes apart, without labels, is how rules are written: one seldom votes bad on a
-good document (SPARES), however many bad ones it misses. A good vote never speaks against a
-document. Beta priors hold the estimates where votes are few.
+Rules are taken to err independently within a class of documents, with a rate of their own for good, bad and no
+vote. Bad documents come in kinds that different rules notice: a page of symbols passes every rule but one. With
+a single class of bad documents such a rule could not be told from one that is often wrong, so models with one bad
+class, two, and so on are fitted, begun from the rules that notice most documents others don't, as long as the Bayesian information criterion
+improves. Where one bad class explains the votes, that is the model.
+
+Which classes are bad follows from the votes as well: the one that holds documents without a bad vote is good, and
+of several others those on which some rule votes bad more often than not are bad. Accuracies of bad
+documents are over all their kinds. Beta priors of a few documents hold the estimates where votes are few.
 
 Defined cases: a null or empty text has no words and all signals 0; rows are judged by
 themselves, whatever their doc_id; an empty table gives no rows; further columns are not read by ``judge``
@@ -32,8 +38,8 @@ WINDOW = 8
 MAX_REPEATED_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
 KEEP_FROM = 0.5
-#: Least share of good votes that a rule is believed to have on good documents.
-SPARES = 0.995
+#: Votes good, none and bad that each rule is believed to have cast before any is seen, on good and on bad documents.
+PRIOR_GOOD, PRIOR_BAD = (9.0, 1.0, 1.0), (2.0, 1.0, 2.0)
 
 SIGNALS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_letters long, n_capitals long"
 
@@ -131,37 +137,97 @@ def base_failed(s: str) -> Column:
 
 
 class Accuracies:
-    """Share of good documents; of each rule, good votes on good and bad votes on bad documents."""
+    """Share of good documents; of each rule, the share of good votes on good and of bad votes on bad documents, where it votes.
+
+    ``shares`` and ``votes`` (vote, class, rule) describe all classes, ``good`` says which are good.
+    """
+
+    def __init__(self, shares: np.ndarray, votes: np.ndarray):
+        self.shares, self.votes = shares, votes
+        self.good = (votes[2] < 0.5).all(axis=1)
+        self.good[0] = True
+        if len(shares) == 2:
+            self.good[1] = False
+        self.share = float(shares[self.good].sum())
+        self.on_good, self.on_bad = self._right(0, self.good), self._right(2, ~self.good)
+
+    def _right(self, vote: int, classes: np.ndarray) -> np.ndarray:
+        cast = np.einsum("c,vcr->vr", self.shares[classes], self.votes[:, classes])
+        return cast[vote] / (cast[0] + cast[2])
 
-    def __init__(self, share: float, on_good: np.ndarray, on_bad: np.ndarray):
-        self.share, self.on_good, self.on_bad = share, on_good, on_bad
+    def likelihoods(self, votes: np.ndarray) -> np.ndarray:
+        """Logarithm of the probability of each class with each pattern."""
+        return np.log(self.shares) + sum((votes == v) @ np.log(p).T for v, p in zip((1, 0, -1), self.votes, strict=True))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        good = np.log(self.on_good / (1 - self.on_bad))
-        bad = np.log((1 - self.on_good) / self.on_bad)
-        odds = np.log(self.share / (1 - self.share)) + (votes > 0) @ good + (votes < 0) @ bad
-        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        return _shares(self.likelihoods(votes))[0][:, self.good].sum(axis=1)
+
+
+def _shares(likelihoods: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each class's share of its row, and the logarithm of the row's sum."""
+    top = likelihoods.max(axis=1, keepdims=True)
+    each = np.exp(likelihoods - top)
+    total = each.sum(axis=1, keepdims=True)
+    return each / total, (top + np.log(total))[:, 0]
+
+
+def _fitted(votes: np.ndarray, counts: np.ndarray, held: np.ndarray, rounds: int) -> tuple[Accuracies, float]:
+    """Expectation maximisation from ``held``, the classes' shares of each pattern; the model and its criterion."""
+    is_vote = [(votes == v).astype(float) for v in (1, 0, -1)]
+    n_classes = held.shape[1]
+    prior = np.array([PRIOR_GOOD] + [PRIOR_BAD] * (n_classes - 1)).T[:, :, None]
+    before = -np.inf
+    for _ in range(rounds):
+        weight = counts[:, None] * held
+        seen = np.stack([weight.T @ x for x in is_vote]) + prior
+        model = Accuracies((weight.sum(axis=0) + 1) / (counts.sum() + n_classes), seen / seen.sum(axis=0))
+        held, each = _shares(model.likelihoods(votes))
+        now = float(counts @ each)
+        if now - before < 1e-9 * counts.sum():
+            break
+        before = now
+    parameters = 2 * n_classes * votes.shape[1] + n_classes - 1
+    return model, parameters * np.log(max(2.0, counts.sum())) - 2 * now
+
 
+def _begun(bad: np.ndarray, rules: list[int]) -> np.ndarray:
+    """Shares of a good class and of a bad one for each of ``rules``: documents with a bad vote begin as bad, of the kinds that these rules notice."""
+    mine, any_bad = bad[:, rules], bad.any(axis=1)
+    kinds = np.where(mine.any(axis=1)[:, None], mine / np.maximum(mine.sum(axis=1), 1)[:, None], 1 / len(rules))
+    is_bad = np.where(any_bad, 0.9, 0.1)[:, None]
+    return np.column_stack([1 - is_bad, is_bad * kinds])
 
-def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> Accuracies:
-    """Expectation maximisation over voting patterns. It starts from documents with no bad vote as good."""
+
+def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 2000) -> Accuracies:
+    """The model of voting patterns with the best criterion; classes are added while that improves."""
     n_rules = votes.shape[1]
-    model = Accuracies(0.8, np.full(n_rules, 0.9), np.full(n_rules, 0.5))
     if not len(counts):
-        return model
-    good = np.where((votes < 0).any(axis=1), 0.1, 0.9)
-    for _ in range(rounds):
-        w_good, w_bad = counts * good, counts * (1 - good)
-        # Beta priors: ten documents' worth of what is expected before any are seen.
-        on_good = (w_good @ (votes > 0) + 9) / (w_good @ (votes != 0) + 10)
-        on_bad = (w_bad @ (votes < 0) + 5) / (w_bad @ (votes != 0) + 10)
-        on_good = np.clip(on_good, SPARES, 1 - 1e-6)
-        on_bad = np.clip(np.maximum(on_bad, 1 - on_good + 1e-3), 1e-3, 1 - 1e-6)  # better than chance
-        model = Accuracies((w_good.sum() + 8) / (counts.sum() + 10), on_good, on_bad)
-        before, good = good, model.posterior(votes)
-        if np.abs(good - before).max() < 1e-9:
+        beliefs = np.array([PRIOR_GOOD, PRIOR_BAD]).T[:, :, None] * np.ones(n_rules)
+        return Accuracies(np.array([0.5, 0.5]), beliefs / beliefs.sum(axis=0))
+    bad = votes < 0
+    best, criterion = _fitted(votes, counts, _begun(bad, list(range(n_rules))) @ _merged(n_rules), rounds)
+    rules, since = _noticing(bad, counts), 0
+    for n_kinds in range(2, len(rules) + 1):
+        model, found = _fitted(votes, counts, _begun(bad, rules[:n_kinds]), rounds)
+        if found < criterion:
+            best, criterion, since = model, found, 0
+        elif (since := since + 1) == 2:
             break
-    return model
+    return best
+
+
+def _noticing(bad: np.ndarray, counts: np.ndarray) -> list[int]:
+    """Rules in the order of how many documents they alone, of those before them, vote bad on."""
+    out, left = [], counts.copy()
+    while len(out) < bad.shape[1] and (alone := left @ bad).max() > 0:
+        out.append(int(alone.argmax()))
+        left[bad[:, out[-1]]] = 0
+    return out
+
+
+def _merged(n_rules: int) -> np.ndarray:
+    """Adds up the kinds of ``_begun`` to one bad class."""
+    return np.vstack([[1, 0], np.tile([0, 1], (n_rules, 1))]).astype(float)
 
 
 def pattern_posteriors(spark: SparkSession, patterns: DataFrame) -> DataFrame:

@@ -61,19 +61,102 @@ def test_repeated_words_of_any_numbers():
         assert ws.repeated_words(words) == base_signals(text)[4]
 
 
-def test_estimate_recovers_planted_accuracies():
-    rng = np.random.default_rng(6)
-    good = rng.random(60_000) < 0.8
-    on_good, on_bad = np.array([0.995, 0.999, 0.993, 0.998]), np.array([0.7, 0.5, 0.8, 0.6])
-    says_good = np.where(good[:, None], rng.random((len(good), 4)) < on_good, rng.random((len(good), 4)) >= on_bad)
-    votes = np.where(rng.random((len(good), 4)) < 0.1, 0, np.where(says_good, 1, -1))
+PLANTED = [
+    ([0.90, 0.85, 0.80, 0.95], [0.70, 0.80, 0.75, 0.90], 0.8),
+    ([0.99, 0.98, 0.97, 0.99], [0.70, 0.50, 0.80, 0.60], 0.8),
+    ([0.70, 0.75, 0.90, 0.80, 0.85, 0.95], [0.90, 0.70, 0.75, 0.80, 0.70, 0.85], 0.7),
+    ([0.995, 0.999, 0.993, 0.998], [0.7, 0.5, 0.8, 0.6], 0.8),
+]
+
+
+def planted(on_good, on_bad, share, n, seed=6):
+    rng = np.random.default_rng(seed)
+    good, size = rng.random(n) < share, (n, len(on_good))
+    says_good = np.where(good[:, None], rng.random(size) < on_good, rng.random(size) >= on_bad)
+    return good, np.where(rng.random(size) < 0.1, 0, np.where(says_good, 1, -1))
+
+
+def patterns_of(votes):
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
-    model = ws.estimate(patterns, counts.astype(float))
-    assert abs(model.share - 0.8) < 0.02
-    assert np.abs(model.on_good - on_good).max() < 0.01 and np.abs(model.on_bad - on_bad).max() < 0.05
+    return patterns, counts.astype(float)
+
+
+@pytest.mark.parametrize("on_good,on_bad,share", PLANTED)
+def test_estimate_recovers_planted_accuracies(on_good, on_bad, share):
+    good, votes = planted(on_good, on_bad, share, 60_000)
+    patterns, counts = patterns_of(votes)
+    model = ws.estimate(patterns, counts)
+    assert abs(model.share - share) < 0.01
+    assert np.abs(model.on_good - on_good).max() < 0.015 and np.abs(model.on_bad - on_bad).max() < 0.03
+    judged = dict(zip(map(tuple, patterns), model.posterior(patterns) >= 0.5, strict=True))
+    kept = np.array([judged[tuple(v)] for v in votes])
+    odds = np.log(share / (1 - share)) + (votes > 0) @ np.log(np.array(on_good) / (1 - np.array(on_bad))) + (votes < 0) @ np.log((1 - np.array(on_good)) / on_bad)
+    assert np.mean(kept == (odds >= 0)) > 0.99  # what the planted accuracies themselves would say
+    assert np.mean(kept[good]) > 0.9
+
+
+def plain_em(votes, share=0.8, rounds=400):
+    """Two classes, a document at a time, each rule's votes as shares of good, none and bad; nothing shared with the library."""
+    rows = [tuple(int(x) for x in v) for v in votes]
+    good = [0.1 if -1 in row else 0.9 for row in rows]
+    n_rules = len(rows[0])
+    for _ in range(rounds):
+        tables = []
+        for held, prior in ((good, (9.0, 1.0, 1.0)), ([1 - g for g in good], (2.0, 1.0, 2.0))):
+            table = [{v: p for v, p in zip((1, 0, -1), prior, strict=True)} for _ in range(n_rules)]
+            for row, weight in zip(rows, held, strict=True):
+                for r, v in enumerate(row):
+                    table[r][v] += weight
+            tables.append([{v: x / sum(t.values()) for v, x in t.items()} for t in table])
+        share = (sum(good) + 1) / (len(rows) + 2)
+        new = []
+        for row in rows:
+            p, q = share, 1 - share
+            for r, v in enumerate(row):
+                p, q = p * tables[0][r][v], q * tables[1][r][v]
+            new.append(p / (p + q))
+        done = max(abs(a - b) for a, b in zip(new, good, strict=True)) < 1e-7
+        good = new
+        if done:
+            break
+    right = lambda table, v: [t[v] / (t[1] + t[-1]) for t in table]
+    return share, right(tables[0], 1), right(tables[1], -1), good
+
+
+def test_estimate_equals_a_plain_version():
+    _, votes = planted(*PLANTED[0], 1500)
+    patterns, counts = patterns_of(votes)
+    model = ws.estimate(patterns, counts)
+    share, on_good, on_bad, posterior = plain_em(votes)
+    assert len(model.shares) == 2
+    assert abs(model.share - share) < 2e-3
+    assert np.abs(model.on_good - on_good).max() < 2e-3 and np.abs(model.on_bad - on_bad).max() < 5e-3
+    mine = dict(zip(map(tuple, patterns), model.posterior(patterns), strict=True))
+    assert max(abs(mine[tuple(v)] - p) for v, p in zip(votes, posterior, strict=True)) < 0.01
+
+
+def test_kinds_of_bad_documents_that_different_rules_notice():
+    """Two kinds of bad documents: each passes half of the rules. A single bad class could not hold both."""
+    rng = np.random.default_rng(3)
+    kind = rng.choice(3, 40_000, p=[0.85, 0.1, 0.05])
+    on = np.array([[0.97] * 6, [0.97, 0.97, 0.1, 0.4, 0.3, 0.97], [0.2, 0.3, 0.97, 0.97, 0.97, 0.1]])
+    votes = np.where(rng.random((40_000, 6)) < on[kind], 1, -1)
+    patterns, counts = patterns_of(votes)
+    model = ws.estimate(patterns, counts)
+    assert len(model.shares) == 3 and abs(model.share - 0.85) < 0.02
+    assert np.abs(model.on_good - 0.97).max() < 0.02
     judged = dict(zip(map(tuple, patterns), model.posterior(patterns) >= 0.5, strict=True))
-    right = np.mean([judged[tuple(v)] == g for v, g in zip(votes, good, strict=True)])
-    assert right > 0.96
+    kept = np.array([judged[tuple(v)] for v in votes])
+    assert kept[kind == 0].mean() > 0.97 and kept[kind == 1].mean() < 0.2 and kept[kind == 2].mean() < 0.2
+
+
+def test_estimate_of_few_or_uniform_votes():
+    one = ws.estimate(np.ones((1, 8), int), np.array([5.0]))
+    assert one.posterior(np.ones((1, 8), int))[0] > 0.5
+    none = ws.estimate(np.zeros((0, 8), int), np.zeros(0))
+    assert none.posterior(np.ones((1, 8), int))[0] > 0.5 > none.posterior(-np.ones((1, 8), int))[0]
+    silent = ws.estimate(np.zeros((1, 8), int), np.array([9.0]))
+    assert np.isfinite(silent.posterior(np.zeros((1, 8), int))).all()
 
 
 def test_verdict_follows_from_all_patterns(spark):
@@ -91,6 +174,14 @@ def test_verdict_follows_from_all_patterns(spark):
     assert sum(r["kept"] for r in passed) >= 0.98 * len(passed)
     bad = {r["doc_id"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 0").collect()}
     assert sum(r["kept"] for r in rows if r["doc_id"] in bad) <= 0.2 * len(bad)
+    # The verdicts again, from each document's own votes and the model's classes, one product at a time.
+    value = {"+": 1, "0": 0, "-": -1}
+    marked = docs.select("doc_id", ws.signals(F.col("text")).alias("s")).select("doc_id", ws.pattern("s").alias("p")).collect()
+    votes = {r["doc_id"]: [value[c] for c in r["p"]] for r in marked}
+    model = ws.estimate(*patterns_of(np.array(list(votes.values()))))
+    for r in rows:
+        odds = [share * np.prod([model.votes[1 - v, c, i] for i, v in enumerate(votes[r["doc_id"]])]) for c, share in enumerate(model.shares)]
+        assert abs(sum(x for x, g in zip(odds, model.good, strict=True) if g) / sum(odds) - r["posterior"]) < 1e-6
 
 
 @pytest.mark.parametrize("keep", [ws.keep_good, lambda d: eb.keep_good(d, d.sparkSession.createDataFrame([], "doc_id long, quality int, toxic int"), "pattern", "n")])
