@@ -7,7 +7,8 @@ Sums run in two levels (blocks of lengths, then lengths in a block), so no task
 
 Defined cases: a null or empty text has length 0; rows with one doc_id each count; an empty
 table gives no rows; further columns are not read, except those named in ``by``, whose nulls
-are a group of their own.
+are a group of their own. A column of ``by`` with a name that the histogram or its sums have themselves comes out
+as ``by_`` and that name.
 """
 
 from __future__ import annotations
@@ -24,6 +25,12 @@ from siltworks.llm.tokens import encode_documents, vocabulary
 
 #: Lengths summed in one window.
 BLOCK = 4096
+_OWN = {"n_tokens", "n_docs", "docs_from", "tokens_from", "total_docs", "total_tokens", "truncated_tokens", "quantile"}
+
+
+def named(by: Iterable[str]) -> list[str]:
+    """What the columns of ``by`` are called in results."""
+    return [f"by_{c}" if c in _OWN else c for c in by]
 
 
 def length_histogram(docs: DataFrame, path: str | None = None, by: Iterable[str] = ()) -> DataFrame:
@@ -40,7 +47,7 @@ def length_histogram(docs: DataFrame, path: str | None = None, by: Iterable[str]
 
     kinds = "".join(f"by{i} string, " for i in range(len(by)))
     counted = docs.select(F.col("text").cast("string").alias("text"), *groups).mapInArrow(work, f"{kinds}n_tokens long, n_docs long")
-    keys = [F.col(f"by{i}").alias(c) for i, c in enumerate(by)]
+    keys = [F.col(f"by{i}").alias(c) for i, c in enumerate(named(by))]
     return counted.groupBy(*keys, "n_tokens").agg(F.sum("n_docs").alias("n_docs"))
 
 
@@ -51,7 +58,9 @@ def suffix_sums(histogram: DataFrame, by: Iterable[str] = (), block: int = BLOCK
     ``truncated_tokens`` is the sum over all documents of min(length, n_tokens);
     ``quantile`` is the share of documents that are this long or shorter.
     """
-    by = list(by)
+    given = named(by)
+    by = [f"_by{i}" for i in range(len(given))]
+    histogram = histogram.withColumnsRenamed(dict(zip(given, by, strict=True)))
     h = histogram.withColumn("_block", F.floor(F.col("n_tokens") / block))
     ids = (F.col("n_tokens") * F.col("n_docs")).alias("ids")
     blocks = h.groupBy(*by, "_block").agg(F.sum("n_docs").alias("_docs"), F.sum(ids).alias("_ids"))
@@ -72,7 +81,7 @@ def suffix_sums(histogram: DataFrame, by: Iterable[str] = (), block: int = BLOCK
     out = h.join(blocks, match).withColumns({"docs_from": docs_from, "tokens_from": tokens_from})
     longer = F.col("docs_from") - F.col("n_docs")
     return out.select(
-        *by, "n_tokens", "n_docs", "docs_from", "tokens_from", "total_docs", "total_tokens",
+        *[F.col(c).alias(name) for c, name in zip(by, given, strict=True)], "n_tokens", "n_docs", "docs_from", "tokens_from", "total_docs", "total_tokens",
         (F.col("total_tokens") - F.col("tokens_from") + F.col("n_tokens") * F.col("docs_from")).alias("truncated_tokens"),
         ((F.col("total_docs") - longer) / F.col("total_docs")).alias("quantile"),
     )

@@ -196,3 +196,13 @@ def test_token_files_round_trip(spark, library, source, file_ids):
     want = sorted((r["doc_id"] is not None, r["doc_id"], len(i := ids_of(library, r["text"])), crc(i)) for r in docs.collect())
     got = sorted((r["doc_id"] is not None, r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows)
     assert got == want
+
+
+def test_histogram_by_columns_with_names_of_its_own(spark):
+    rows = [(1, "one two three", "x", None, 5), (2, "one", "x", "b", 5), (3, None, "y", "b", 7), (4, "one two three", "x", None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string, n_docs string, quantile int")
+    by = ["n_tokens", "n_docs", "quantile"]
+    found = lh.suffix_sums(lh.length_histogram(docs, by=by).cache(), by)
+    assert found.columns[:5] == ["by_n_tokens", "by_n_docs", "by_quantile", "n_tokens", "n_docs"]
+    got = {(r["by_n_tokens"], r["by_n_docs"], r["by_quantile"], r["n_tokens"]): (r["n_docs"], r["docs_from"], r["total_docs"]) for r in found.collect()}
+    assert got == {("x", None, "5", 3): (2, 2, 2), ("x", "b", "5", 1): (1, 1, 1), ("y", "b", "7", 0): (1, 1, 1)}
