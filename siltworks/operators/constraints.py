@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Collection, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,29 @@ def unique_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
+def all_key_violations(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """Values of any of several unique keys that more than one row holds: key, key_values, n_rows.
+
+    One scan and one exchange for all keys, as grouping sets: tasks count their own rows of every key before
+    any is sent. A row with a NULL in a key's columns does not violate that key, as in SQL. ``key`` names the
+    key's columns, ``key_values`` gives them as text.
+    """
+    sets = [list(k) for k in keys]
+    columns = list(dict.fromkeys(c for k in sets for c in k))
+    counted = df.groupingSets([[F.col(c) for c in k] for k in sets], *columns).agg(
+        F.grouping_id(*columns).alias("__set"), F.count(F.lit(1)).alias("n_rows")
+    )
+    # A set's number has a 1 for each column that is not in it.
+    number = {sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in k): k for k in sets}
+    whole = [(F.col("__set") == n) & reduce(and_, [F.col(c).isNotNull() for c in k]) for n, k in number.items()]
+    of_set = lambda value: F.coalesce(*[F.when(F.col("__set") == n, value(k)) for n, k in number.items()])
+    return counted.where((F.col("n_rows") > 1) & reduce(or_, whole)).select(
+        of_set(lambda k: F.lit(",".join(k))).alias("key"),
+        of_set(lambda k: F.array(*[F.col(c).cast("string") for c in k])).alias("key_values"),
+        "n_rows",
+    )
+
+
 def fk_orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child key values the parent lacks, with the number of rows holding each.
 

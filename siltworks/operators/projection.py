@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Collection, Sequence
+from functools import lru_cache, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltworks.contracts import Contract
-from siltworks.functions import clean, parse, prepare
+from siltworks.functions import clean, parse, prepare, text
 
 ROW_FAILED = "__row_failed"
 FAIL_SUFFIX = "__cast_fail"
@@ -21,13 +22,10 @@ def fail_flag(column: str) -> str:
     return column + FAIL_SUFFIX
 
 
-def _positions(source: DataFrame) -> dict[str, int]:
+def _found(columns: Sequence[str], contract: Contract) -> dict[str, int]:
+    """Where the contract's columns are among a source's."""
     # Names are matched without regard to case; of two that collide the later one wins.
-    return {name.lower(): i for i, name in enumerate(source.columns)}
-
-
-def _matched(source: DataFrame, contract: Contract) -> dict[str, int]:
-    positions = _positions(source)
+    positions = {name.lower(): i for i, name in enumerate(columns)}
     found = {}
     for f in contract.schema:
         at = positions.get(contract.source_name(f.name).lower(), positions.get(f.name.lower()))
@@ -36,9 +34,7 @@ def _matched(source: DataFrame, contract: Contract) -> dict[str, int]:
     return found
 
 
-def checked_columns(source: DataFrame, contract: Contract) -> list[str]:
-    """Columns that can fail: non-string ones present in the source, required ones absent."""
-    present = _matched(source, contract)
+def _checked(present: Collection[str], contract: Contract) -> list[str]:
     return [
         f.name
         for f in contract.schema
@@ -47,9 +43,14 @@ def checked_columns(source: DataFrame, contract: Contract) -> list[str]:
     ]
 
 
+def checked_columns(source: DataFrame, contract: Contract) -> list[str]:
+    """Columns that can fail: non-string ones present in the source, required ones absent."""
+    return _checked(_found(source.columns, contract), contract)
+
+
 def absent_columns(source: DataFrame, contract: Contract) -> list[str]:
     """Contract columns the source does not have."""
-    present = _matched(source, contract)
+    present = _found(source.columns, contract)
     return [f.name for f in contract.schema if f.name not in present]
 
 
@@ -60,48 +61,46 @@ def check_contract(source: DataFrame, contract: Contract, keep_raw: bool = False
     row where a required column is absent from the source. ``__row_failed`` is true
     where any flag is. ``keep_raw`` carries the landed text along as ``__raw_<column>``.
 
+    The projections are SQL text, worked out once for a contract and a header, so that a wide contract costs a few calls.
     Every cast step is a select of its own. They stay separate in the plan: Catalyst
     does not merge a projection into the next when that would compute a value twice.
     """
-    present = _matched(source, contract)
-    checked = checked_columns(source, contract)
-    raw = [RAW_PREFIX + name for name in present if keep_raw]
     # Positional names sidestep duplicates and names that would need quoting.
-    landed = source.toDF(*[f"c{i}" for i in range(len(source.columns))])
+    rows = source.toDF(*[f"c{i}" for i in range(len(source.columns))])
+    for step in _steps(contract.to_json(), tuple(source.columns), keep_raw):
+        rows = rows.selectExpr(*step)
+    return rows
+
+
+@lru_cache(maxsize=256)
+def _steps(contract_json: str, columns: tuple[str, ...], keep_raw: bool) -> tuple[tuple[str, ...], ...]:
+    """The projections of ``check_contract`` as SQL text, worked out once for a contract and a source's header."""
+    contract = Contract.from_json(contract_json)
+    present = _found(columns, contract)
+    checked = _checked(present, contract)
+    raw = [RAW_PREFIX + name for name in present if keep_raw]
+    kept = [text.name_of(c) for c in raw]
     types = {f.name: f.dataType for f in contract.schema}
 
-    cleaned = landed.select(
-        *[clean(F.col(f"c{at}")).alias(name) for name, at in present.items()],
-        *[
-            F.col(f"c{at}").cast("string").alias(RAW_PREFIX + name)
-            for name, at in present.items()
-            if keep_raw
-        ],
-    )
-    prepared = cleaned.select(
-        *[prepare(F.col(c), types[c]).alias(c) for c in present], *raw
-    )
-    typed = prepared.select(
-        *[
-            (parse(F.col(c), t) if c in present else F.lit(None).cast(t)).alias(c)
-            for c, t in types.items()
-        ],
-        *[F.col(c).isNotNull().alias(_had_text(c)) for c in checked if c in present],
-        *raw,
-    )
-
-    def failed(name: str) -> Column:
+    def failed(name: str) -> text.Text:
         if name not in present:
-            return F.lit(True)
-        return F.col(_had_text(name)) & F.col(name).isNull()
-
-    any_failed = reduce(or_, [failed(name) for name in checked], F.lit(False))
-    return typed.select(
-        *contract.schema.names,
-        *[failed(name).alias(fail_flag(name)) for name in checked],
-        *raw,
-        any_failed.alias(ROW_FAILED),
+            return text.lit(True)
+        return text.col(_had_text(name)) & text.col(name).isNull()
+
+    any_failed = reduce(or_, [failed(name) for name in checked], text.lit(False))
+    landed = [text.col(f"c{at}").cast("string").alias(RAW_PREFIX + name) for name, at in present.items() if keep_raw]
+    cleaned = [clean(text.col(f"c{at}"), text).alias(name) for name, at in present.items()]
+    prepared = [prepare(text.col(c), types[c], text).alias(c) for c in present]
+    typed = [(parse(text.col(c), t, text) if c in present else text.lit(None).cast(t)).alias(c) for c, t in types.items()]
+    had = [text.col(c).isNotNull().alias(_had_text(c)) for c in checked if c in present]
+    flags = [failed(name).alias(fail_flag(name)) for name in checked]
+    steps = (
+        [x.sql for x in (*cleaned, *landed)],
+        [*(x.sql for x in prepared), *kept],
+        [*(x.sql for x in (*typed, *had)), *kept],
+        [*map(text.name_of, contract.schema.names), *(x.sql for x in flags), *kept, any_failed.alias(ROW_FAILED).sql],
     )
+    return tuple(tuple(step) for step in steps if step)
 
 
 def _had_text(name: str) -> str:

@@ -49,6 +49,26 @@ def write_bronze(spark: SparkSession, lake: Lake, name: str, df: DataFrame) -> B
     return BronzeReport(written.get["n"], written.get["malformed"])
 
 
+_DELTA = "siltworks.delta"
+
+
+def delta_waiting(spark: SparkSession, table: str) -> bool:
+    """Whether a Bronze table holds only what was new, and that is not in Silver yet."""
+    if not spark.catalog.tableExists(table):
+        return False
+    return any(r["key"] == _DELTA and r["value"] == "waiting" for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect())
+
+
+def _mark_delta(spark: SparkSession, table: str) -> None:
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_DELTA}' = 'waiting')")
+
+
+def merged_delta(spark: SparkSession, table: str) -> None:
+    """A table's delta is in Silver: other rows may be loaded over it."""
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_DELTA}' = 'merged')")
+
+
 def load_bronze(
     spark: SparkSession,
     lake: Lake,
@@ -65,19 +85,30 @@ def load_bronze(
     the table is published; one that arrives meanwhile waits for the next load. ``single_file``
     insists on exactly one, ``only_new`` leaves out those in the ledger. Without a file to
     read the load is refused and the table stays as it was.
+
+    After an earlier load, ``only_new`` leaves a delta in Bronze: the table holds the new files' rows
+    alone. It is marked as such. Merging it into Silver (``plans/keyed``) takes the mark away; until then
+    nothing is loaded over it, and a promotion, which would replace Silver by it, is refused.
     """
-    target = lake.table(lake.bronze, contract.name)
+    target, delta = lake.table(lake.bronze, contract.name), False
     with audited(spark, lake, lake.bronze, run, target_table=target) as entry:
         folder = f"{landing.rstrip('/')}/{contract.folder}"
         listing = source_files(spark, folder)
         if only_new:
-            listing = new_files(listing, file_ledger(spark, lake).where(F.col("target_table") == target))
+            known = file_ledger(spark, lake).where(F.col("target_table") == target)
+            listing, delta = new_files(listing, known), not known.isEmpty()
         rows = listing.collect()  # names, sizes and times of files
         files = spark.createDataFrame(rows, listing.schema)
         paths = landed_paths(files, folder, single=single_file)
         entry["source_file_path"] = paths[0] if single_file else folder
+        if delta_waiting(spark, target):
+            raise ValueError(f"{target} holds a delta that is not merged yet; loading over it would lose its rows")
+        if delta:  # before its rows are there: a crash in between leaves a mark too many, not one too few
+            _mark_delta(spark, target)
         scan = scan_delimited(spark, paths, contract.source_schema, keep_corrupt=True)
         report = write_bronze(spark, lake, contract.name, add_provenance(scan, entry["start_time"]))
+        if delta:
+            _mark_delta(spark, target)
         record_files(files, lake, target, run.job_run_id, entry["start_time"])
         entry["record_count"] = report.total_rows
         if report.malformed_rows:

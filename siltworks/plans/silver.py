@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,18 +20,17 @@ from siltworks.operators.projection import (
     typed_columns,
 )
 from siltworks.operators.quality import DqReport, Gate, metric_columns
-from siltworks.plans.bronze import LOG, Outcome, run_tables
+from siltworks.plans.bronze import LOG, Outcome, delta_waiting, merged_delta, run_tables
 from siltworks.sinks.audit import Run, audited
 from siltworks.sinks.lake import (
     CLUSTER_FILE_BYTES,
-    QUARANTINE_SUFFIX,
     Lake,
     cluster_files,
     clustered,
-    publish_contract,
-    publish_frame,
-    withdraw,
+    ddl,
 )
+from siltworks.sinks.layout import clustered_on_all
+from siltworks.sinks.versions import Part, Version, publish, settle
 from siltworks.sources.tables import tables_to_process
 
 SPLIT_COLUMN = "dq_failed"
@@ -56,7 +57,8 @@ def write_quarantined(
     """Write valid and failing rows apart in one pass; returns their two folders.
 
     Failing rows (``check_contract(keep_raw=True)``) keep their text as it landed in ``landed``, because
-    the next load overwrites Bronze. Valid rows have it empty, which costs next to nothing.
+    the next load overwrites Bronze. Valid rows have it empty, which costs next to nothing. Both folders are there
+    afterwards, also where no row belongs in one.
     """
     measured = Observation()
     landed = F.struct(*[F.col(RAW_PREFIX + c).alias(c) for c in raw_names(checked)])
@@ -66,11 +68,17 @@ def write_quarantined(
         failed_columns(checked).alias("failed_columns"),
         F.col(ROW_FAILED).alias(SPLIT_COLUMN),
     ).write.partitionBy(SPLIT_COLUMN).parquet(location)
-    return (
-        f"{location}/{SPLIT_COLUMN}=false",
-        f"{location}/{SPLIT_COLUMN}=true",
-        DqReport.of(measured.get),
-    )
+    report, spark = DqReport.of(measured.get), checked.sparkSession
+    valid, failing = f"{location}/{SPLIT_COLUMN}=false", f"{location}/{SPLIT_COLUMN}=true"
+    columns = quarantine_columns(contract, raw_names(checked))
+    for folder, n_rows in ((valid, report.total_rows - report.cast_error_rows), (failing, report.cast_error_rows)):
+        if not n_rows:
+            spark.createDataFrame([], _nullable(columns)).write.parquet(folder)
+    return valid, failing, report
+
+
+def _nullable(columns: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in columns])
 
 
 def write_clustered(
@@ -78,6 +86,7 @@ def write_clustered(
 ) -> None:
     """Order staged rows by the contract's clustering keys, in as many files as their bytes ask for.
 
+    Several keys are ordered along a Hilbert curve, so that files can be skipped on each of them (``sinks/layout``).
     Works from the staged typed files, not from the text: finding the key ranges is a
     pass over the input of its own, and tasks lost during the shuffle start again from
     here. A refused load never gets this far.
@@ -85,7 +94,8 @@ def write_clustered(
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(staged)
     staged_bytes = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     rows = spark.read.schema(contract.schema).parquet(staged)
-    clustered(rows, contract.cluster_by, cluster_files(staged_bytes, file_bytes)).write.parquet(location)
+    order = clustered_on_all if len(contract.cluster_by) > 1 else clustered
+    order(rows, contract.cluster_by, cluster_files(staged_bytes, file_bytes)).write.parquet(location)
 
 
 def promote_silver(
@@ -98,20 +108,29 @@ def promote_silver(
     defaults: bool = False,
     cluster: bool = False,
     quarantine: bool = False,
+    complete: bool = False,
 ) -> DqReport:
     """Refresh one Silver table from its Bronze table.
 
     Rows are staged and measured together; the gate then decides whether the staged
     rows are published. A refused load raises and leaves the table unchanged. The audit
-    row is written in every case.
+    row is written in every case. Table and quarantine are one version (``sinks/versions``): both
+    change, or neither does, and of two loads at once the second to end raises ``LoadConflict``.
 
     ``defaults`` fills declared defaults, ``cluster`` orders rows by the contract's
     clustering keys, ``quarantine`` keeps failing rows out of the table and puts them
-    in ``<table>_dq_quarantine``. All three are off in a plain load.
+    in ``<table>_dq_quarantine``. All three are off in a plain load. ``complete`` says that a
+    Bronze table loaded with ``only_new`` holds all there is; without it such a table is refused, as Silver would
+    lose the rows of earlier files (``merge_silver`` adds to them instead).
     """
     source = lake.table(lake.bronze, contract.name)
     target = lake.table(lake.silver, contract.name)
     with audited(spark, lake, lake.silver, run, source_table=source, target_table=target) as entry:
+        if not complete and delta_waiting(spark, source):
+            raise ValueError(f"{source} holds only what was new; merge it, or say that it is complete")
+        before = settle(spark, lake, contract.name)
+        if before.buckets:
+            raise ValueError(f"{contract.name} is merged by key; a plain load would replace what was merged")
         landed = spark.table(source)
         checked = check_contract(landed, contract, keep_raw=quarantine)
         if defaults:
@@ -128,23 +147,21 @@ def promote_silver(
         if cluster and contract.cluster_by:
             staged, location = location, lake.new_location(lake.silver, contract.name)
             write_clustered(spark, contract, staged, location)
+        new = Version(parts=(Part(location),), columns=ddl(contract.schema), job_run_id=run.job_run_id)
         if failing:
-            _publish_quarantine(spark, lake, contract, raw_names(checked), failing)
-        else:
-            # Rows an earlier load put aside are not this load's.
-            withdraw(spark, lake, lake.silver, contract.name + QUARANTINE_SUFFIX)
-        publish_contract(spark, lake, lake.silver, contract, location)
+            new = replace(new, quarantine=(failing,), quarantine_columns=ddl(quarantine_columns(contract, raw_names(checked))))
+        publish(spark, lake, contract, new, before.number)
+        if complete and delta_waiting(spark, source):
+            merged_delta(spark, source)
         entry["record_count"] = report.total_rows
         return report
 
 
-def _publish_quarantine(
-    spark: SparkSession, lake: Lake, contract: Contract, raw: list[str], folder: str
-) -> None:
+def quarantine_columns(contract: Contract, raw: list[str]) -> T.StructType:
+    """Columns of the rows put aside: as typed, as landed, and which did not cast."""
     landed = T.StructType([T.StructField(c, T.StringType()) for c in raw])
     reasons = T.StructField("failed_columns", T.ArrayType(T.StringType()))
-    columns = T.StructType([*contract.schema.fields, T.StructField(LANDED, landed), reasons])
-    publish_frame(spark, lake, lake.silver, contract.name + QUARANTINE_SUFFIX, columns, folder)
+    return T.StructType([*contract.schema.fields, T.StructField(LANDED, landed), reasons])
 
 
 def promote_all(

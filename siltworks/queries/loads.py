@@ -55,6 +55,7 @@ from siltworks.sources.delimited import (
     source_files,
 )
 from siltworks.sources.ledger import LEDGER_COLUMNS, new_files, record_files
+from siltworks.sources.multiline import FILE, scan_multiline
 from siltworks.sources.tables import tables_to_process
 from siltworks.streaming.ingest import read_new_files, stream_bronze, stream_silver
 
@@ -79,6 +80,26 @@ def scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_delimited(spark, folder, _EVENT_SCHEMA)
 
 
+# Every third event has line breaks, and quotes, inside a field.
+BROKEN_LINES = """
+select cast(event_id as string) as event_id,
+  case event_id % 3 when 0 then event_type || chr(10) || '"q" ' || chr(10) || chr(10) || props when 1 then event_type else props end as note,
+  cast(user_id as string) as user_id
+from {events}
+"""
+_BROKEN_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("event_id", "note", "user_id")])
+
+
+def scan_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks inside quotes, read in many splits of each file."""
+    folder = land(dirty(spark, sf_dir, BROKEN_LINES), scratch_dir(spark, "broken"))
+    size = spark.read.format("binaryFile").load(f"{folder}/*.txt").agg(F.sum("length")).first()[0]
+    # A session of its own, so this setting is the query's alone.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(2000, size // 24)))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    return scan_multiline(spark, folder, _BROKEN_SCHEMA).drop(FILE)
+
+
 def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = land(dirty(spark, sf_dir, EVENT_TEXT), scratch_dir(spark, "provenance"))
     stamped = add_provenance(scan_delimited(spark, folder, _EVENT_SCHEMA), RUN_TIME)
@@ -526,6 +547,7 @@ def _data_bytes(name: str) -> str:
 
 QUERIES = {
     "scan_delimited": (scan, f"select {_EVENT_COLUMNS}, props from ({plain(EVENT_TEXT)})"),
+    "scan_multiline": (scan_broken_lines, plain(BROKEN_LINES)),
     "add_provenance": (
         provenance,
         "select cast(event_id as string) as event_id, timestamp '2024-01-31 06:30:00' as ingest_ts, "

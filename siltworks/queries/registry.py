@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import wraps
 
-from siltworks.queries import constraints, loads, runs, typing
+from siltworks.queries import constraints, loads, runs, typing, versions
 from siltworks.session import tune
 
-ALL = {**loads.QUERIES, **typing.QUERIES, **constraints.QUERIES, **runs.QUERIES}
+ALL = {**loads.QUERIES, **typing.QUERIES, **constraints.QUERIES, **runs.QUERIES, **versions.QUERIES}
 
 
 def _tuned(run):

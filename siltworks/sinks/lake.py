@@ -23,7 +23,9 @@ from siltworks.contracts.model import quote
 # The internal table names a load never takes for data.
 AUDIT_TABLE = "etl_log"
 LEDGER_TABLE = "etl_files"
+VERSIONS_TABLE = "etl_versions"
 QUARANTINE_SUFFIX = "_dq_quarantine"
+PARTS_SUFFIX = "__parts"
 
 
 @dataclass(frozen=True)
@@ -84,12 +86,30 @@ def publish_frame(
             _point_at(spark, table, location)
             return
         columns = merged
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     _replace(
-        spark, lake, schema, name, lambda new: f"CREATE TABLE {new} ({ddl}) USING parquet LOCATION {quote(location)}"
+        spark, lake, schema, name, lambda new: f"CREATE TABLE {new} ({ddl(columns)}) USING parquet LOCATION {quote(location)}"
     )
 
 
+def ddl(columns: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+
+
+def without_scheme(path: str) -> str:
+    return re.sub(r"^[a-zA-Z0-9]+:/*", "/", path).rstrip("/")
+
+
+def is_view(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.getTable(table).tableType == "VIEW"
+
+
+def drop_entry(spark: SparkSession, lake: Lake, schema: str, name: str) -> None:
+    """Take a table or view out of the catalog, if it is there; files stay until they expire."""
+    table = lake.table(schema, name)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP {'VIEW' if is_view(spark, table) else 'TABLE'} IF EXISTS {table}")
+
+
 def withdraw(spark: SparkSession, lake: Lake, schema: str, name: str) -> None:
     """Take a table out of the catalog; its files stay until they expire."""
     spark.sql(f"DROP TABLE IF EXISTS {lake.table(schema, name)}")
@@ -100,8 +120,12 @@ def _replace(spark: SparkSession, lake: Lake, schema: str, name: str, create) ->
     leaves the old one as it was."""
     table, new = lake.table(schema, name), lake.table(schema, f"{name}_{uuid.uuid4().hex[:12]}")
     spark.sql(create(new))
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
 
 
 def _declares(spark: SparkSession, table: str, contract: Contract) -> bool:
@@ -156,16 +180,28 @@ def load_folders(spark: SparkSession, lake: Lake) -> DataFrame:
     )
 
 
+def folders_in_use(spark: SparkSession, lake: Lake) -> list[str]:
+    """Folders of all versions of Silver tables that are entered."""
+    table = lake.table(lake.silver, VERSIONS_TABLE)
+    if not spark.catalog.tableExists(table):
+        return []
+    spark.catalog.refreshTable(table)
+    folders = F.concat(F.transform("parts", lambda p: p["folder"]), "quarantine")
+    return [r[0] for r in spark.table(table).select(F.explode(folders)).distinct().collect()]
+
+
 def expire(spark: SparkSession, lake: Lake, *, keep: int = 1, delete: bool = False) -> DataFrame:
     """Folders of loads no table reads any more, but for the ``keep`` newest of each table.
 
     Superseded, refused and failed loads stay on disk until someone asks for this; nothing
-    in the package does. Without ``delete`` the folders are only listed.
+    in the package does. Folders of versions that are still entered count as read. Without ``delete`` the
+    folders are only listed.
     """
-    read = set()
+    read = {without_scheme(folder) for folder in folders_in_use(spark, lake)}
     for schema in (lake.bronze, lake.silver):
         for row in spark.sql(f"SHOW TABLES IN `{schema}`").where("NOT isTemporary").collect():
-            read.add(re.sub(r"^[a-z0-9]+:/*", "/", lake.location(spark, schema, row["tableName"])))
+            if not is_view(spark, lake.table(schema, row["tableName"])):
+                read.add(without_scheme(lake.location(spark, schema, row["tableName"])))
     folder = F.regexp_replace("folder", r"^[a-zA-Z0-9]+:/*", "/")
     loads = load_folders(spark, lake)
     in_use = reduce(or_, [F.lit(at).startswith(folder) for at in sorted(read)], F.lit(False))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime
+from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +17,18 @@ from siltworks.operators.projection import (
     failed_columns,
     raw_names,
 )
-from siltworks.operators.quality import DqReport, metric_columns
+from siltworks.operators.quality import DqReport, Gate, metric_columns
 from siltworks.plans.bronze import LOG
+from siltworks.plans.keyed import key_of, merge_delivery
 from siltworks.plans.silver import LANDED, SPLIT_COLUMN
 from siltworks.sinks.audit import Run, audited
 from siltworks.sinks.lake import Lake
-from siltworks.sources.delimited import _local_path, add_provenance, delimited_reader
+from siltworks.sources.delimited import INGEST_TS, _local_path, add_provenance, delimited_reader
 
 #: A file is never too old to be loaded: late deliveries and restored backlogs carry old dates.
 NO_AGE_LIMIT = "36500d"
+#: How long a stream by key remembers the rows it has seen.
+EXPIRY = "7 days"
 #: Bytes a batch takes, so that a first backlog is not a single one.
 BATCH_BYTES = 64 << 30
 
@@ -118,3 +121,51 @@ def stream_silver(
         return report.total_rows
 
     return _batches(lines, checkpoint, write, lake, lake.silver if lake else "", target, run)
+
+
+def unseen(lines: DataFrame, contract: Contract, key: Sequence[str], expiry: str = EXPIRY) -> DataFrame:
+    """Lines that the stream has not met before, by key and content; it remembers them for ``expiry``.
+
+    The state store holds the key and a 128-bit digest of the line's fields, and lets them go when the watermark on the
+    time of arrival has passed. Arrival, not the row's own time, so nothing comes too late. A repeated line that
+    the store has let go of costs a merge that changes nothing.
+    """
+    fields = F.to_json(F.struct(*[F.col(c) for c in contract.source_schema.names]), {"ignoreNullFields": "false"})
+    names = [contract.source_name(c) for c in key]
+    known = lines.withColumn("__content", F.md5(fields)).withWatermark(INGEST_TS, expiry)
+    return known.dropDuplicatesWithinWatermark([*names, "__content"]).drop("__content")
+
+
+def stream_keyed(
+    lines: DataFrame,
+    contract: Contract,
+    checkpoint: str,
+    *,
+    lake: Lake,
+    run: Run = Run(),
+    gate: Gate = Gate(),
+    key: Sequence[str] = (),
+    latest_by: Sequence[str] = (),
+    expiry: str = EXPIRY,
+    **options,
+) -> StreamingQuery:
+    """Merge new lines into a published Silver table by key, a version for each batch.
+
+    The state store drops lines met before, so repeated files rewrite nothing. What is left of a batch is gated,
+    failing rows are put aside, and the rest is merged like a delivery (``plans/keyed``). A batch the gate
+    refuses stops the stream with the table as it was; started again, the stream takes up that batch. A version
+    says which batch it holds, so one that is run again after a crash is not merged twice.
+    """
+    columns, target = key_of(contract, key), lake.table(lake.silver, contract.name)
+
+    def write(rows: DataFrame, number: int) -> int:
+        entry = {"start_time": datetime.now(timezone.utc)}
+        report = merge_delivery(
+            rows.sparkSession, lake, contract, rows, entry, gate, key=columns, latest_by=latest_by, run=run, stream=checkpoint, batch=number, **options
+        )
+        if report is None:  # merged before a crash; the state store still has to take the batch in
+            rows.write.format("noop").mode("overwrite").save()
+            return 0
+        return report.delivery.total_rows
+
+    return _batches(unseen(lines, contract, columns, expiry), checkpoint, write, lake, lake.silver, target, run)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltworks.functions import cast_text, clean, empty_to_null
+from siltworks.functions import cast_text, clean, empty_to_null, parse, prepare, text
 from siltworks.functions.formats import DATE_FORMATS, TIMESTAMP_FORMATS, shape
 
 D = Decimal
@@ -164,3 +164,16 @@ def test_shortcuts_agree_with_trying_every_layout(spark, zone):
 def test_shape_of_a_layout():
     assert shape("yyyy-MM-dd'T'HH:mm").startswith("(?i)^[+-]?")
     assert "T" in shape("yyyy-MM-dd'T'HH:mm")
+
+
+@pytest.mark.parametrize("kind", ["string", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal(9,3)", "date", "timestamp", "timestamp_ntz"])
+def test_text_is_the_same_expression(spark, kind):
+    """Each cast step written as SQL text gives the plan that its Columns give."""
+    target = T.StructType.fromDDL(f"x {kind}")[0].dataType
+    df = spark.createDataFrame([("1",)], "t string")
+
+    def plan(frame):
+        return frame._jdf.queryExecution().optimizedPlan().canonicalized().toString()
+
+    for step in (lambda c, f: clean(c, f), lambda c, f: prepare(c, target, f), lambda c, f: parse(c, target, f), lambda c, f: cast_text(clean(c, f), target, f)):
+        assert plan(df.selectExpr(step(text.col("t"), text).alias("x").sql)) == plan(df.select(step(F.col("t"), F).alias("x")))

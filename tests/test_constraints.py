@@ -3,6 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from siltworks.contracts import Contract
+from siltworks.operators import constraints as c
 from siltworks.operators.constraints import (
     fill_defaults,
     fk_orphans,
@@ -76,3 +77,17 @@ def test_child_is_reduced_before_the_join(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # One exchange for the aggregate, reused by the join, and one for the parent.
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_all_keys_in_one_pass(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 1.5), (1, "a", 1.5), (1, "b", None), (2, None, 1.5), (2, None, 2.5), (None, "c", 9.0), (None, "c", 9.0)], "id int, part string, price double"
+    )
+    keys = [("id", "part"), ("price",), ("part", "price"), ("id",)]
+    got = c.all_key_violations(df, keys)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    want = {}
+    for k in keys:
+        for r in c.unique_key_violations(df.dropna(subset=list(k)), k).collect():
+            want[",".join(k), tuple(str(r[x]) for x in k)] = r["n_rows"]
+    assert {(r["key"], tuple(r["key_values"])): r["n_rows"] for r in got.collect()} == want and len(want) == 7

@@ -3,6 +3,7 @@ import shutil
 import subprocess
 import sys
 
+import pytest
 from pyspark.sql import SparkSession
 
 from siltworks.queries import registry
@@ -10,11 +11,14 @@ from siltworks.queries import registry
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def test_entry_works_without_the_training_data_operators(tmp_path):
+@pytest.mark.parametrize("left", [None, "siltworks/llm/__pycache__"])
+def test_entry_works_without_the_training_data_operators(tmp_path, left):
     def left_out(folder, names):
         return [n for n in names if n in ("llm", "corpus_pipeline.py", ".git", "__pycache__")]
 
     shutil.copytree(ROOT, tmp_path / "repo", ignore=left_out)
+    if left:
+        (tmp_path / "repo" / left).mkdir(parents=True)
     code = "import __spark_entry__ as e; q = set(e.queries()); assert q == set(e.oracle_sql()) and 'silver_lineitem' in q; import bench"
     env = {**os.environ, "PYTHONPATH": str(tmp_path / "repo"), "PYTHONDONTWRITEBYTECODE": "1"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", env=env, check=True)

@@ -1,0 +1,76 @@
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from siltworks.contracts import Contract
+from siltworks.plans.silver import write_clustered
+from siltworks.sinks.lake import clustered
+from siltworks.sinks.layout import clustered_on_all, file_ranges, hilbert_places, skipped_files, with_place
+
+KEYS = ["a", "b", "c", "d"]
+
+
+@pytest.mark.parametrize("dimensions,bits", [(1, 4), (2, 1), (2, 8), (3, 5), (4, 4)])
+def test_the_curve_visits_each_cell_once_and_never_jumps(dimensions, bits):
+    place = hilbert_places(dimensions, bits)
+    assert sorted(place.tolist()) == list(range(1 << dimensions * bits))
+    cell = np.argsort(place)
+    x = np.stack([(cell >> (dimensions - 1 - i) * bits) & ((1 << bits) - 1) for i in range(dimensions)])
+    assert (np.abs(np.diff(x, axis=1)).sum(axis=0) == 1).all()
+
+
+def table(spark, n=60_000):
+    """Four keys that don't follow from each other, of several types, with missing values and one value in a third of the rows."""
+    h = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000))
+    return spark.range(0, n, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(h(1)).cast("int").alias("a"),
+        F.when(h(2) > 20, F.concat(F.lit("k"), F.lpad(h(2).cast("string"), 4, "0"))).alias("b"),
+        (F.lit(datetime(2024, 1, 1)).cast("timestamp") + F.make_dt_interval(h(3).cast("int"))).alias("c"),
+        (h(4) / 8).cast("decimal(10,3)").alias("d"), F.col("id").alias("v"),
+    )
+
+
+def skipped(spark, folder):
+    return {r["key"]: (r["files"], r["skipped"]) for r in skipped_files(spark, folder, KEYS, 60).collect()}
+
+
+def test_every_key_skips_files(spark, tmp_path):
+    df = table(spark)
+    clustered_on_all(df, KEYS, 64).write.parquet(f"{tmp_path}/all")
+    clustered(df, tuple(KEYS), 64).write.parquet(f"{tmp_path}/first")
+    every, first = skipped(spark, f"{tmp_path}/all"), skipped(spark, f"{tmp_path}/first")
+    assert every["a"][0] > 30
+    # Sorted by one key after another, only the first one skips, and the second within the value that a third of the rows hold.
+    assert all(every[k][1] > 0.45 for k in KEYS) and first["a"][1] > 0.9
+    assert first["b"][1] < 0.35 and first["c"][1] < 0.05 and first["d"][1] < 0.05
+    same = lambda path: sorted(map(str, spark.read.parquet(path).collect()))
+    assert same(f"{tmp_path}/all") == sorted(map(str, df.collect()))
+
+
+def test_one_value_in_a_third_of_the_rows_is_spread(spark, tmp_path):
+    df = table(spark, 30_000).withColumns({"b": F.lit("same"), "c": F.lit(None).cast("timestamp"), "d": F.lit(Decimal(1))})
+    clustered_on_all(df, KEYS, 12).write.parquet(f"{tmp_path}/hot")
+    rows = [r["n_rows"] for r in file_ranges(spark, f"{tmp_path}/hot", KEYS).collect()]
+    assert sum(rows) == 30_000 and max(rows) < 6_000
+
+
+def test_places_follow_a_small_sample_too(spark):
+    df = table(spark, 20_000)
+    placed = with_place(df, ["a", "b"], sample=500)
+    assert placed.count() == 20_000 and placed.select("__place").distinct().count() > 500
+    assert with_place(df.where("false"), ["a", "b"]).count() == 0
+
+
+def test_a_contracts_rows_are_ordered_on_all_keys(spark, tmp_path):
+    contract = Contract(name="t", columns="a INT, b STRING, c TIMESTAMP, d DECIMAL(10,3), v BIGINT", cluster_by=tuple(KEYS))
+    df = table(spark, 40_000)
+    df.write.parquet(f"{tmp_path}/staged")
+    write_clustered(spark, contract, f"{tmp_path}/staged", f"{tmp_path}/out", file_bytes=40_000)
+    found = skipped(spark, f"{tmp_path}/out")
+    assert all(share > 0.15 for _, share in found.values()), found
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 40_000
+    day = datetime(2024, 1, 1) + timedelta(days=30)
+    assert spark.read.parquet(f"{tmp_path}/out").where(F.col("c") == F.lit(day)).count() == df.where(F.col("c") == F.lit(day)).count() > 0

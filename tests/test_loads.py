@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks.contracts import Contract, Registry
 from siltworks.operators.quality import Gate, GateRefused
-from siltworks.plans.bronze import Outcome, load_all, load_bronze, run_tables, write_bronze
+from siltworks.plans.bronze import Outcome, load_all, load_bronze, merged_delta, run_tables, write_bronze
 from siltworks.plans.runs import run_task_status
 from siltworks.plans.silver import declare_silver, promote_all, promote_silver, write_clustered
 from siltworks.sinks.audit import Run, append_audit, audit_log, compact_audit
@@ -184,6 +184,10 @@ def test_new_files_are_loaded_once(spark, lake, tmp_path):
     with pytest.raises(FileNotFoundError):
         load()
     land(tmp_path, "3^|~3^|~corrected", file="a.txt")
+    with pytest.raises(ValueError, match="not merged yet"):
+        load()
+    assert [r[0] for r in rows(spark, lake, lake.bronze)] == ["2"]
+    merged_delta(spark, lake.table(lake.bronze, "items"))
     assert load() == ["3"]
     assert file_ledger(spark, lake).count() == 4
 
@@ -344,3 +348,44 @@ def test_log_appends_at_the_same_time_are_all_kept(spark, lake):
     [t.start() for t in threads]
     [t.join() for t in threads]
     assert sorted(r["target_table"] for r in audit_log(spark, lake, lake.bronze).collect()) == [str(i) for i in range(8)]
+
+
+def test_a_reader_during_compaction_sees_each_row_once(spark, lake, monkeypatch):
+    def add(day, n):
+        append_audit(spark, lake, lake.bronze, [RUN.row(start_time=datetime(2024, 1, day, 5), target_table=f"{day}-{n}", success=1)])
+
+    for n in range(4):
+        add(1, n)
+    add(2, 0)
+    log, run, seen = lake.table(lake.bronze, "etl_log"), type(spark).sql, []
+
+    def watched(session, text, *args, **named):
+        out = run(session, text, *args, **named)
+        if text.startswith("ALTER"):
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(type(spark), "sql", run)
+                names = sorted(r["target_table"] for r in audit_log(spark, lake, lake.bronze).collect())
+                seen.append((names, run_task_status(spark, log, "run-1").count(), run_task_status(spark, log, "run-1", [date(2024, 1, 1)]).count()))
+        return out
+
+    everything = ["1-0", "1-1", "1-2", "1-3", "2-0"]
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", watched)
+        assert compact_audit(spark, lake, lake.bronze, date(2024, 1, 3)) == ["2024-01-01"]
+    assert len(seen) == 5 and all(s == (everything, 5, 4) for s in seen), seen
+    add(1, 4)  # late, to a day that is closed
+    assert sorted(r["target_table"] for r in audit_log(spark, lake, lake.bronze).collect()) == sorted([*everything, "1-4"])
+    # Cut short after the switch: hidden appends stay hidden, and the next run takes them out.
+    with monkeypatch.context() as patch:
+
+        def cut(session, text, *args, **named):
+            if "DROP IF EXISTS PARTITION" in text:
+                raise OSError("cut short")
+            return run(session, text, *args, **named)
+
+        patch.setattr(type(spark), "sql", cut)
+        with pytest.raises(OSError):
+            compact_audit(spark, lake, lake.bronze, date(2024, 1, 3))
+    assert audit_log(spark, lake, lake.bronze).count() == run_task_status(spark, log, "run-1").count() == 6
+    assert compact_audit(spark, lake, lake.bronze, date(2024, 1, 3)) == []
+    assert spark.sql(f"SHOW PARTITIONS {log}").count() == 2 and audit_log(spark, lake, lake.bronze).count() == 6

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 import pytest
 
-from siltworks.contracts import Contract
+from siltworks.contracts import Contract, declared
 from siltworks.operators.projection import (
     ROW_FAILED,
     check_contract,
@@ -79,3 +79,15 @@ def test_casts_are_evaluated_once(spark, conf):
     plan = checked._jdf.queryExecution().optimizedPlan().toString()
     # One chain of layout attempts: the flags read the result instead of casting again.
     assert plan.count("MM/dd/yyyy HH:mm:ss") == 1
+
+
+def test_a_wide_contract_is_projected_in_few_calls(spark):
+    import time
+
+    contract = declared().lookup("adv_product")
+    df = spark.createDataFrame([], contract.source_schema)
+    check_contract(df.limit(1), contract)
+    start = time.perf_counter()
+    checked = check_contract(df, contract, keep_raw=True)
+    assert time.perf_counter() - start < 1.5
+    assert checked.columns[:84] == contract.schema.names and checked.count() == 0
