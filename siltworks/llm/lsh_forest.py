@@ -13,12 +13,12 @@ copies cost one row each and nothing more. Each class has minimum hashes in 32 t
 * Rest. A region that lies in one component needs no further look. In the others, classes outside the
   region's largest component are compared with the region, so that links between components are found. A
   region with more than 128 classes goes deeper first, in all 32 trees: it is split by the next hashes until
-  its parts are small, or 32 hashes deep. So a class is compared with 32 times 128 others at most, however many
-  documents follow one template, but for regions that stay crowded at full depth; those are compared whole, in blocks.
+  its parts are small, or 32 hashes deep, and the parts are compared. That finds most links of a crowded region at little cost, not all.
+* Crowded regions. The classes of those that still lie in several components are compared by rare shingles, which
+  leaves nothing out: two sets that share four fifths have one in common among the least frequent fifth (and one) of each. All
+  classes that hold such a shingle are a region again, and those in several components are compared whole, in blocks.
 
-A pair of classes in a region that went to depth d meets there with its similarity to the power of d, in one of 32
-trees (computed as if these were independent; deeper hashes are shared between them): at the threshold itself 99 % for d = 8, 90 % for 12, 60 % for 16, and 0.99 and more for pairs from 0.9 on at
-16. Only pairs no shorter way joins depend on it: of different components, in regions crowded with others like them.
+Which classes share a region at all is the one step that depends on chance (5e-8 for a pair at the threshold).
 
 Equal sets share size and two 64-bit sums over their shingles' prints; a class number that two different ones
 share is dealt anew. Links are confirmed on full sets, recomputed from the texts. Before that, a class is dropped if so
@@ -36,7 +36,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm.components import components
@@ -232,7 +232,7 @@ def linked(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Data
 def adaptive(alive: DataFrame, signatures: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """region, node: regions of live classes (tree, region, node), crowded ones split by further hashes.
 
-    ``signatures`` has the regions of all trees of each class.
+    ``signatures`` has the regions of all trees of each class. Pairs that a split parts are left to ``by_rare_shingles``.
     """
     rows, out = alive.select("tree", "region", "node"), []
     for trees in DEEPER:
@@ -246,6 +246,28 @@ def adaptive(alive: DataFrame, signatures: DataFrame, crowded: int = CROWDED) ->
     return reduce(DataFrame.unionByName, [*out, rows.select("region", "node")])
 
 
+def undecided(alive: DataFrame, found: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """node: classes of crowded regions that lie in more than one of the components found."""
+    placed = alive.join(found, "node", "left").select("region", "node", F.coalesce("component", "node").alias("component"))
+    seen = placed.groupBy("region").agg(F.count("*").alias("here"), F.min("component").alias("low"), F.max("component").alias("high"))
+    apart = seen.where((F.col("here") > crowded) & (F.col("low") != F.col("high"))).select("region")
+    return placed.join(apart, "region", "leftsemi").select("node").distinct()
+
+
+def by_rare_shingles(texts: DataFrame, percent: int, words: int) -> DataFrame:
+    """region, node: a region for each shingle, of the classes (node, n, text) that have it among their rarest.
+
+    Sets of n shingles that are similar enough share ``percent`` of n at least. With the shingles in one order for all, the
+    first of each set that are one more than it may lack have a member in common.
+    """
+    prints = written(_prints_of(texts, words).join(texts.select("node", "n"), "node"), "prints")
+    often = prints.groupBy("print").agg(F.count("*").alias("sets"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("sets", "print"))
+    lacking = F.floor(F.col("n") * (100 - percent) / 100)
+    rare = prints.join(often, "print").withColumn("place", place).where(F.col("place") <= lacking + 1)
+    return rare.where("sets > 1").select(F.col("print").alias("region"), "node")
+
+
 def between_components(regions: DataFrame, found: DataFrame, live: DataFrame, percent: int, words: int) -> DataFrame:
     """Links a, b between components that meet in a region (region, node); ``found`` has the components of nodes."""
     part = F.coalesce("component", "node").alias("component")
@@ -363,7 +385,12 @@ def grouped(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Data
     found = components(links)
     part = F.coalesce("component", "node").alias("component")
     more = between_components(adaptive(alive, classes), found, live, percent, words)
-    found = components(links.unionByName(written(more, "more-links")))
+    links = links.unionByName(written(more, "more-links"))
+    found = components(links)
+    rest = written(live.join(undecided(alive, found), "node").select("node", "n", "text"), "undecided")
+    if not rest.isEmpty():
+        regions = written(by_rare_shingles(rest, percent, words), "rare")
+        found = components(links.unionByName(written(between_components(regions, found, live, percent, words), "last-links")))
 
     joined = classes.select("node", "first_doc").join(found, "node", "left").select("node", "first_doc", part)
     least = joined.groupBy("component").agg(F.min("first_doc").alias("component_id"))

@@ -213,3 +213,22 @@ def test_equal_numbers_of_different_sets_are_dealt_anew(spark, monkeypatch):
     monkeypatch.setattr(lf.F, "xxhash64", clashing)
     rows = {r["doc_id"]: r["node"] for r in lf.numbered(signed).collect()}
     assert rows[1] == rows[2] != rows[3] and 4 in calls
+
+
+def test_crowded_regions_lose_no_link(spark, monkeypatch):
+    """Pages of one template with two words of their own: those with them in the same places are linked, by shingles that all pages have."""
+    for step in (lf.adaptive, lf.undecided):
+        monkeypatch.setattr(step, "__defaults__", (16,))
+    rng, texts = random.Random(11), []
+    for pair in range(120):
+        places = rng.sample(range(4, 85), 2)
+        for copy in range(2):
+            page = [f"t{i}" for i in range(90)]
+            for at in places:
+                page[at] = f"own{pair}c{copy}a{at}"
+            texts.append(" ".join(page))
+    rows = list(enumerate(texts))
+    want = {d: c for d, _, c, _ in brute(rows)[0]}
+    got = {r["doc_id"]: r["component_id"] for r in lf.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(set(want.values())) > 20
+    assert got == want
