@@ -24,10 +24,12 @@ from siltworks.plans.bronze import LOG, Outcome, delta_waiting, merged_delta, ru
 from siltworks.sinks.audit import Run, audited
 from siltworks.sinks.lake import (
     CLUSTER_FILE_BYTES,
+    CLUSTER_TASK_BYTES,
     Lake,
     cluster_files,
     clustered,
     ddl,
+    sorted_bytes,
 )
 from siltworks.sinks.layout import clustered_on_all
 from siltworks.sinks.versions import Part, Version, publish, settle
@@ -84,7 +86,7 @@ def _nullable(columns: T.StructType) -> T.StructType:
 def write_clustered(
     spark: SparkSession, contract: Contract, staged: str, location: str, file_bytes: int = CLUSTER_FILE_BYTES
 ) -> None:
-    """Order staged rows by the contract's clustering keys, in as many files as their bytes ask for.
+    """Order staged rows by the contract's clustering keys, in as many files as their bytes ask for, packed or as a task sorts them.
 
     Several keys are ordered along a Hilbert curve, so that files can be skipped on each of them (``sinks/layout``).
     Works from the staged typed files, not from the text: finding the key ranges is a
@@ -95,7 +97,8 @@ def write_clustered(
     staged_bytes = listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     rows = spark.read.schema(contract.schema).parquet(staged)
     order = clustered_on_all if len(contract.cluster_by) > 1 else clustered
-    order(rows, contract.cluster_by, cluster_files(staged_bytes, file_bytes)).write.parquet(location)
+    files = max(cluster_files(staged_bytes, file_bytes), cluster_files(sorted_bytes(rows), CLUSTER_TASK_BYTES))
+    order(rows, contract.cluster_by, files).write.parquet(location)
 
 
 def promote_silver(

@@ -11,7 +11,7 @@ import re
 import uuid
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -144,6 +144,8 @@ def _point_at(spark: SparkSession, table: str, location: str) -> None:
 
 #: Bytes of staged files that one clustered file is made from.
 CLUSTER_FILE_BYTES = 256 << 20
+#: Bytes of rows, as a sort holds them, that one clustered file is made from: files may be packed a hundredfold.
+CLUSTER_TASK_BYTES = 1 << 30
 
 
 def cluster_files(staged_bytes: int, target: int = CLUSTER_FILE_BYTES) -> int:
@@ -151,6 +153,14 @@ def cluster_files(staged_bytes: int, target: int = CLUSTER_FILE_BYTES) -> int:
     return max(1, -(-staged_bytes // target))
 
 
+def sorted_bytes(df: DataFrame) -> int:
+    """Memory that a sort of all rows takes: eight bytes a column and 40 a row, and the text."""
+    text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in text]
+    row = reduce(add, lengths, F.lit(8 * len(df.columns) + 40).cast("long"))
+    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
 def clustered(df: DataFrame, keys: tuple[str, ...], files: int) -> DataFrame:
     """Rows ordered across and within files by ``keys`` for min/max pruning on read.
 

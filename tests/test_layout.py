@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltworks.contracts import Contract
+from siltworks.plans import silver
 from siltworks.plans.silver import write_clustered
 from siltworks.sinks.lake import clustered
 from siltworks.sinks.layout import clustered_on_all, file_ranges, hilbert_places, skipped_files, with_place
@@ -74,3 +75,13 @@ def test_a_contracts_rows_are_ordered_on_all_keys(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 40_000
     day = datetime(2024, 1, 1) + timedelta(days=30)
     assert spark.read.parquet(f"{tmp_path}/out").where(F.col("c") == F.lit(day)).count() == df.where(F.col("c") == F.lit(day)).count() > 0
+
+
+def test_files_follow_the_memory_of_a_sort(spark, tmp_path, monkeypatch):
+    """Rows that pack well: few bytes of files, and still no file is sorted from more than a task should hold."""
+    monkeypatch.setattr(silver, "CLUSTER_TASK_BYTES", 400_000)
+    contract = Contract(name="t", columns="a INT, b STRING, v BIGINT", cluster_by=("a", "v"))
+    spark.range(30_000).selectExpr("cast(id % 5 as int) a", "if(id % 3 = 0, null, 'same text') b", "id v").write.parquet(f"{tmp_path}/staged")
+    write_clustered(spark, contract, f"{tmp_path}/staged", f"{tmp_path}/out")
+    rows = [r["n_rows"] for r in file_ranges(spark, f"{tmp_path}/out", ["v"]).collect()]
+    assert sum(rows) == 30_000 and max(rows) < 12_000
