@@ -389,3 +389,21 @@ def test_a_reader_during_compaction_sees_each_row_once(spark, lake, monkeypatch)
     assert audit_log(spark, lake, lake.bronze).count() == run_task_status(spark, log, "run-1").count() == 6
     assert compact_audit(spark, lake, lake.bronze, date(2024, 1, 3)) == []
     assert spark.sql(f"SHOW PARTITIONS {log}").count() == 2 and audit_log(spark, lake, lake.bronze).count() == 6
+
+
+def test_extracts_are_fetched_by_turns_and_discarded(spark, lake, tmp_path):
+    """Each table's extract arrives before its load and is gone after it; that of a failed load stays."""
+    registry = Registry([Contract(name=n, columns="id BIGINT NOT NULL, price DECIMAL(6,2), tag STRING") for n in ("a", "b", "c")])
+    landing, seen = tmp_path / "landing", []
+
+    def arrive(name):
+        seen.append((name, sorted(f.parent.name for f in landing.glob("*/*.txt"))))
+        land(tmp_path, f"1^|~1^|~{name}", name=name)
+        if name == "b":
+            land(tmp_path, "2^|~2^|~b", name=name, file="second.txt")
+
+    out = load_all(spark, lake, registry, str(landing), RUN, fail_fast=False, before=arrive, discard=True)
+    assert {r["table_name"]: (r["success"], r["record_count"]) for r in out.collect()} == {"a": (True, 1), "b": (False, 0), "c": (True, 1)}
+    assert seen == [("a", []), ("b", []), ("c", ["b", "b"])]
+    assert sorted(f.name for f in landing.glob("*/*.txt")) == ["a.txt", "second.txt"]
+    assert [r[2] for r in rows(spark, lake, lake.bronze, "c")] == ["c"] and file_ledger(spark, lake).count() == 2
