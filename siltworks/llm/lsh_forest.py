@@ -234,15 +234,19 @@ def adaptive(alive: DataFrame, signatures: DataFrame, crowded: int = CROWDED) ->
 
     ``signatures`` has the regions of all trees of each class. Pairs that a split parts are left to ``by_rare_shingles``.
     """
-    rows, out = alive.select("tree", "region", "node"), []
+    rows, out, used = alive.select("tree", "region", "node"), [], 0
     for trees in DEEPER:
         big = written(rows.groupBy("region").agg(F.count("*").alias("here")).where(F.col("here") > crowded).select("region"), "crowded-regions")
         if big.isEmpty():
             break
         out.append(rows.join(big, "region", "left_anti").select("region", "node"))
-        more = [F.col("regions")[(F.col("tree") + t) % TREES] for t in trees]
-        split = rows.join(big, "region", "leftsemi").join(signatures.select("node", "regions"), "node")
-        rows = written(split.select("tree", F.xxhash64("region", *more).alias("region"), "node"), "deeper")
+        split = rows.join(big, "region", "leftsemi")
+        if not used:  # the hashes of all levels come along from the first
+            ahead = [F.col("regions")[(F.col("tree") + t) % TREES] for level in DEEPER for t in level]
+            split = split.join(signatures.select("node", "regions"), "node").select("region", "node", F.array(*ahead).alias("ahead"))
+        more = [F.col("ahead")[used + i] for i in range(len(trees))]
+        rows = written(split.select(F.xxhash64("region", *more).alias("region"), "node", "ahead"), "deeper")
+        used += len(trees)
     return reduce(DataFrame.unionByName, [*out, rows.select("region", "node")])
 
 
@@ -258,14 +262,18 @@ def by_rare_shingles(texts: DataFrame, percent: int, words: int) -> DataFrame:
     """region, node: a region for each shingle, of the classes (node, n, text) that have it among their rarest.
 
     Sets of n shingles that are similar enough share ``percent`` of n at least. With the shingles in one order for all, the
-    first of each set that are one more than it may lack have a member in common.
+    first of each set that are one more than it may lack have a member in common. Of two sets the one that is not larger shares
+    2 * percent / (100 + percent) of its own, so its member is among fewer: larger sets, and regions, without such a one go.
     """
-    prints = written(_prints_of(texts, words).join(texts.select("node", "n"), "node"), "prints")
+    prints = written(_prints_of(texts, words, sized=True), "prints")
     often = prints.groupBy("print").agg(F.count("*").alias("sets"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("sets", "print"))
     lacking = F.floor(F.col("n") * (100 - percent) / 100)
     rare = prints.join(often, "print").withColumn("place", place).where(F.col("place") <= lacking + 1)
-    return rare.where("sets > 1").select(F.col("print").alias("region"), "node")
+    first = F.col("place") * (100 + percent) <= F.col("n") * (100 - percent) + 100 + percent
+    rare = written(rare.where("sets > 1").select(F.col("print").alias("region"), "node", "n", first.alias("first")), "rarest")
+    least = rare.where("first").groupBy("region").agg(F.min("n").alias("least"))
+    return rare.join(least, "region").where("n >= least").select("region", "node")
 
 
 def between_components(regions: DataFrame, found: DataFrame, live: DataFrame, percent: int, words: int) -> DataFrame:
@@ -372,7 +380,9 @@ def grouped(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Data
         for t in range(FOREST)
     ]
     trees = classes.select("node", "deep").join(sizes, "node").select("node", "n", "c", F.inline(F.array(*of_tree)))
-    alive = written(shared.join(sizes, "node"), "live-regions")
+    signed_live = classes.select("node", "regions").join(sizes, "node")
+    alive = signed_live.select("node", "n", "c", F.posexplode("regions").alias("tree", "region"))
+    alive = written(alive.join(crowded, "region", "leftsemi"), "live-regions")
     whole = F.struct(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
     typical = written(alive.groupBy("region").agg(F.max_by(whole, F.struct(F.col("c") / F.col("n"), F.col("node"))).alias("t")), "typical")
     others = alive.join(typical.select("region", "t.*"), "region").where("a <> node")
@@ -385,12 +395,11 @@ def grouped(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Data
     found = components(links)
     part = F.coalesce("component", "node").alias("component")
     more = between_components(adaptive(alive, classes), found, live, percent, words)
-    links = links.unionByName(written(more, "more-links"))
-    found = components(links)
+    found = joined_up(found, written(more, "more-links"))
     rest = written(live.join(undecided(alive, found), "node").select("node", "n", "text"), "undecided")
     if not rest.isEmpty():
         regions = written(by_rare_shingles(rest, percent, words), "rare")
-        found = components(links.unionByName(written(between_components(regions, found, live, percent, words), "last-links")))
+        found = joined_up(found, written(between_components(regions, found, live, percent, words), "last-links"))
 
     joined = classes.select("node", "first_doc").join(found, "node", "left").select("node", "first_doc", part)
     least = joined.groupBy("component").agg(F.min("first_doc").alias("component_id"))
@@ -406,17 +415,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     return grouped(docs, percent, words).select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept)
 
 
-def _prints_of(texts: DataFrame, words: int) -> DataFrame:
-    """print, node: the shingles of candidates."""
+def joined_up(found: DataFrame, links: DataFrame) -> DataFrame:
+    """node, component of the components found, once further links a, b have joined some of them."""
+    if links.isEmpty():
+        return found
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+
+def _prints_of(texts: DataFrame, words: int, sized: bool = False) -> DataFrame:
+    """print, node: the shingles of candidates; ``sized`` adds n, how many the node has."""
+    names = ["print", "node", "n"] if sized else ["print", "node"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node = batch.column(0).to_numpy()
             for low, high, data, bounds in _blocks(batch.column(1)):
                 prints, n = shingles(data, bounds, words)
-                yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(np.repeat(node[low:high], n))], ["print", "node"])
+                out = [prints.view(np.int64), np.repeat(node[low:high], n), np.repeat(n, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out[: len(names)]], names)
 
-    return texts.select("node", "text").mapInArrow(work, "print long, node long")
+    return texts.select("node", "text").mapInArrow(work, ", ".join(f"{name} long" for name in names))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:

@@ -232,3 +232,12 @@ def test_crowded_regions_lose_no_link(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in lf.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(set(want.values())) > 20
     assert got == want
+
+
+def test_only_sets_that_can_be_similar_share_a_rare_region(spark):
+    """Of 90 words, two sets with 8 of their own are similar at 0.8; with 15 they are not, whatever they share beyond."""
+    page = lambda name, own: " ".join([f"{name}{i}" for i in range(own)] + [f"all{i}" for i in range(90 - own)])
+    for own, meet in ((8, True), (15, False)):
+        rows = [(1, 90, page("a", own)), (2, 90, page("b", own))]
+        regions = lf.by_rare_shingles(spark.createDataFrame(rows, "node long, n long, text string"), 80, 1).collect()
+        assert {r["node"] for r in regions} == ({1, 2} if meet else set())
