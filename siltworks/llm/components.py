@@ -13,21 +13,10 @@ from pyspark.sql import functions as F
 from siltworks.llm.shared import written
 
 
-def _ended(edges: DataFrame) -> bool:
-    """Whether the edges (u, v) are stars by now: each u has one v, and no v is a u."""
-    end = lambda column, out: F.struct(F.col(column).alias("node"), F.lit(out).alias("out"))
-    ends = edges.select(F.inline(F.array(end("u", 1), end("v", 0))))
-    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("low"))
-    return seen.where("out > 1 or (out > 0 and low = 0)").isEmpty()
-
-
-def _star(neighbours: DataFrame, large: bool) -> DataFrame:
-    """Edges (u, v), u > v, that tie neighbours to the least of them."""
-    least = neighbours.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    tied = neighbours.join(least, "u")
-    if large:
-        return tied.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    out = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Edges (u, v), u > v, that tie each u and its v to the least of these."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    out = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return out.where("u <> v").distinct()
 
 
@@ -35,9 +24,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (its least node) of all nodes that occur in links; links are integers."""
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     edges = written(links.select(u, v).where("u <> v").distinct(), "edges")
-    while not _ended(edges):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        edges = written(_star(both, large=True), "large-star")
-        edges = written(_star(edges, large=False), "small-star")
+        below, above = F.count_if(F.col("v") < F.col("u")).alias("below"), F.count_if(F.col("v") > F.col("u")).alias("above")
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), below, above), "least")
+        # Stars by now: each u has one v, and no v is a u. One table of least neighbours tells that and makes the next step.
+        if least.where("below > 1 or (below > 0 and above > 0)").isEmpty():
+            break
+        edges = written(edges.join(least.select(F.col("u").alias("v"), "m"), "v").select("u", F.col("m").alias("v")), "large-star")
+        edges = written(_small_star(edges), "small-star")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -232,22 +232,32 @@ def linked(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Data
 def adaptive(alive: DataFrame, signatures: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """region, node: regions of live classes (tree, region, node), crowded ones split by further hashes.
 
-    ``signatures`` has the regions of all trees of each class. Pairs that a split parts are left to ``by_rare_shingles``.
+    ``signatures`` has the regions of all trees of each class; further columns of ``alive`` come along. Each level's regions
+    are parts of those above, so all levels are made and counted at once, and a class stays in the first that is not
+    crowded. Pairs that a split parts are left to ``by_rare_shingles``.
     """
-    rows, out, used = alive.select("tree", "region", "node"), [], 0
+
+    def too_large(rows: DataFrame) -> DataFrame:
+        sizes = rows.groupBy("region").agg(F.count("*").alias("here"))
+        return written(sizes.where(F.col("here") > crowded).select("region"), "crowded-regions")
+
+    rest = [c for c in alive.columns if c not in ("tree", "region")]
+    big = too_large(alive)
+    if big.isEmpty():
+        return alive.select("region", *rest)
+    split = alive.join(big, "region", "leftsemi").join(signatures.select("node", "regions"), "node")
+    levels, region = [], F.col("region")
     for trees in DEEPER:
-        big = written(rows.groupBy("region").agg(F.count("*").alias("here")).where(F.col("here") > crowded).select("region"), "crowded-regions")
-        if big.isEmpty():
-            break
-        out.append(rows.join(big, "region", "left_anti").select("region", "node"))
-        split = rows.join(big, "region", "leftsemi")
-        if not used:  # the hashes of all levels come along from the first
-            ahead = [F.col("regions")[(F.col("tree") + t) % TREES] for level in DEEPER for t in level]
-            split = split.join(signatures.select("node", "regions"), "node").select("region", "node", F.array(*ahead).alias("ahead"))
-        more = [F.col("ahead")[used + i] for i in range(len(trees))]
-        rows = written(split.select(F.xxhash64("region", *more).alias("region"), "node", "ahead"), "deeper")
-        used += len(trees)
-    return reduce(DataFrame.unionByName, [*out, rows.select("region", "node")])
+        region = F.xxhash64(region, *[F.col("regions")[(F.col("tree") + t) % TREES] for t in trees])
+        levels.append(region)
+    split = written(split.select(F.array(*levels).alias("levels"), *rest), "deeper")
+    counted = split.select(F.explode(F.slice("levels", 1, len(DEEPER) - 1)).alias("region"))
+    deeper, rows = too_large(counted), split
+    for i in range(len(DEEPER) - 1):
+        rows = rows.join(deeper.select(F.col("region").alias(f"big{i}")), F.col("levels")[i] == F.col(f"big{i}"), "left")
+    marks = [F.when(F.col(f"big{i}").isNull(), F.col("levels")[i]) for i in range(len(DEEPER) - 1)]
+    own = F.coalesce(*marks, F.col("levels")[len(DEEPER) - 1]).alias("region")
+    return alive.join(big, "region", "left_anti").select("region", *rest).unionByName(rows.select(own, *rest))
 
 
 def undecided(alive: DataFrame, found: DataFrame, crowded: int = CROWDED) -> DataFrame:
@@ -277,9 +287,9 @@ def by_rare_shingles(texts: DataFrame, percent: int, words: int) -> DataFrame:
 
 
 def between_components(regions: DataFrame, found: DataFrame, live: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links a, b between components that meet in a region (region, node); ``found`` has the components of nodes."""
+    """Links a, b between components that meet in a region (region, node, n, c); ``found`` has the components of nodes."""
     part = F.coalesce("component", "node").alias("component")
-    placed = regions.join(found, "node", "left").select("region", "node", part)
+    placed = regions.join(found, "node", "left").select("region", "node", "n", "c", part)
     marks = [F.sum(F.xxhash64("node").bitwiseAND(F.lit((1 << 40) - 1))), F.bit_xor(F.xxhash64("node", F.lit(1))), F.count("*")]
     seen = placed.groupBy("region").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("here"), F.struct(*marks).alias("marks")
@@ -287,7 +297,7 @@ def between_components(regions: DataFrame, found: DataFrame, live: DataFrame, pe
     # Regions of several trees that hold the same classes are looked at once.
     mixed = seen.where("low <> high").groupBy("marks").agg(F.min("region").alias("region"), F.max("here").alias("here"))
     rest = written(placed.join(mixed.select("region", "here"), "region"), "mixed")
-    few = rest.where(F.col("here") <= FEW).join(live.select("node", "n", "c"), "node")
+    few = rest.where(F.col("here") <= FEW)
     members = few.groupBy("region").agg(F.collect_list(F.struct("node", "component", "n", "c")).alias("all"))
     sides = members.select(F.col("all"), F.explode("all").alias("x")).select("x", F.explode("all").alias("y"))
     sides = sides.where("x.node < y.node and x.component <> y.component")
@@ -364,25 +374,23 @@ def grouped(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Data
     regions = classes.select("node", F.posexplode("regions").alias("tree", "region"))
     crowded = written(regions.groupBy("region").agg(F.count("*").alias("here")).where("here > 1").select("region"), "crowded")
     shared = written(regions.join(crowded, "region", "leftsemi"), "regions")
-    candidates = classes.join(shared.select("node").distinct(), "node", "leftsemi").select("node", "n", "k")
-    texts = keyed.select("k", "text").join(candidates, "k").dropDuplicates(["node"]).select("node", "n", "text")
+    candidates = classes.join(shared.select("node").distinct(), "node", "leftsemi").select("node", "n", "k", "deep")
+    texts = keyed.select("k", "text").join(candidates, "k").dropDuplicates(["node"]).select("node", "n", "text", "deep")
     texts = written(texts, "candidates")
 
     own = _prints_of(texts, words).groupBy("print").agg(F.count("*").alias("sets"), F.min("node").alias("node"))
     alone = own.where("sets = 1").groupBy("node").agg(F.count("*").alias("alone"))
     in_others = F.col("n") - F.coalesce("alone", F.lit(0))
     live = texts.join(alone, "node", "left").withColumn("c", in_others).where(f"c * 100 >= n * {percent}")
-    live = written(live.select("node", "n", "c", "text"), "live")
+    live = written(live.select("node", "n", "c", "text", "deep"), "live")
     sizes = live.select("node", "n", "c")
 
     of_tree = [
         F.struct(F.lit(t).alias("tree"), *(F.col("deep")[t * DEEP // 2 + i].alias(f"m{i}") for i in range(DEEP // 2)))
         for t in range(FOREST)
     ]
-    trees = classes.select("node", "deep").join(sizes, "node").select("node", "n", "c", F.inline(F.array(*of_tree)))
-    signed_live = classes.select("node", "regions").join(sizes, "node")
-    alive = signed_live.select("node", "n", "c", F.posexplode("regions").alias("tree", "region"))
-    alive = written(alive.join(crowded, "region", "leftsemi"), "live-regions")
+    trees = live.select("node", "n", "c", F.inline(F.array(*of_tree)))
+    alive = written(shared.join(sizes, "node").select("node", "n", "c", "tree", "region"), "live-regions")
     whole = F.struct(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
     typical = written(alive.groupBy("region").agg(F.max_by(whole, F.struct(F.col("c") / F.col("n"), F.col("node"))).alias("t")), "typical")
     others = alive.join(typical.select("region", "t.*"), "region").where("a <> node")
@@ -398,7 +406,7 @@ def grouped(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Data
     found = joined_up(found, written(more, "more-links"))
     rest = written(live.join(undecided(alive, found), "node").select("node", "n", "text"), "undecided")
     if not rest.isEmpty():
-        regions = written(by_rare_shingles(rest, percent, words), "rare")
+        regions = written(by_rare_shingles(rest, percent, words).join(sizes, "node"), "rare")
         found = joined_up(found, written(between_components(regions, found, live, percent, words), "last-links"))
 
     joined = classes.select("node", "first_doc").join(found, "node", "left").select("node", "first_doc", part)

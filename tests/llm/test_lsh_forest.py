@@ -241,3 +241,30 @@ def test_only_sets_that_can_be_similar_share_a_rare_region(spark):
         rows = [(1, 90, page("a", own)), (2, 90, page("b", own))]
         regions = lf.by_rare_shingles(spark.createDataFrame(rows, "node long, n long, text string"), 80, 1).collect()
         assert {r["node"] for r in regions} == ({1, 2} if meet else set())
+
+
+def test_regions_of_all_levels_are_counted_at_once(spark, monkeypatch):
+    """The regions are those of splitting level by level, and crowded ones are looked for twice, however deep they go."""
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    classes, real, labels = numbered_sets(spark, template_pages(150)), lf.written, []
+    monkeypatch.setattr(lf, "written", lambda df, label: labels.append(label) or real(df, label))
+    hashes = {r["node"]: r["regions"] for r in classes.collect()}
+    parts = {}
+    for node, regions in hashes.items():
+        for tree, region in enumerate(regions):
+            parts.setdefault((tree, region), []).append(node)
+    want = Counter()
+    for (tree, _), nodes in parts.items():
+        level = [nodes]
+        for trees in lf.DEEPER:
+            want.update(frozenset(n) for n in level if len(n) <= 8)
+            split = {}
+            for at, members in enumerate(level):
+                for node in members if len(members) > 8 else ():
+                    split.setdefault((at, *[hashes[node][(tree + t) % lf.TREES] for t in trees]), []).append(node)
+            level = list(split.values())
+        want.update(map(frozenset, level))
+    alive = classes.select("node", F.posexplode("regions").alias("tree", "region"))
+    found = lf.adaptive(alive, classes, 8).groupBy("region").agg(F.collect_list("node").alias("nodes")).collect()
+    assert Counter(frozenset(r["nodes"]) for r in found) == want
+    assert labels.count("crowded-regions") == 2
