@@ -207,3 +207,20 @@ def test_nothing_but_failing_rows_and_nothing_at_all(spark, lake):
     assert merge_silver(spark, lake, ITEMS).touched == 0
     assert merge(spark, lake, [("1", "a", "", "1", "x")]).rows_total == 1
     assert keyed.key_of(ITEMS) == ["id", "part"]
+
+
+def test_parts_no_version_reads_go_by_the_statement_not_one_by_one(spark, lake, monkeypatch):
+    """Five merges of all keys leave the buckets of two that no version names; the catalog is asked once for many."""
+    real, dropped = type(spark).sql, []
+
+    def sql(self, text, *args, **more):
+        if text.startswith("ALTER TABLE") and "__parts" in text and " DROP " in text:
+            dropped.append(text.count("PARTITION ("))
+        return real(self, text, *args, **more)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    for k in range(5):
+        rows = [(str(i), "a", f"2024-01-0{k + 1} 00:00:00", "1", uuid.uuid4().hex) for i in range(200)]
+        report = merge(spark, lake, rows, bucket_bytes=2000)
+    assert report.rows_total == 200 and report.buckets >= 4
+    assert 1 <= len(dropped) <= 2 and sum(dropped) > len(dropped)
