@@ -407,3 +407,44 @@ def test_extracts_are_fetched_by_turns_and_discarded(spark, lake, tmp_path):
     assert seen == [("a", []), ("b", []), ("c", ["b", "b"])]
     assert sorted(f.name for f in landing.glob("*/*.txt")) == ["a.txt", "second.txt"]
     assert [r[2] for r in rows(spark, lake, lake.bronze, "c")] == ["c"] and file_ledger(spark, lake).count() == 2
+
+
+def test_an_extract_is_loaded_by_parts(spark, lake, tmp_path):
+    """A part is in the landing at a time; the table is published, logged and entered in the ledger once, with all of them."""
+    registry = Registry([Contract(name=n, columns="id BIGINT NOT NULL, price DECIMAL(6,2), tag STRING") for n in ("a", "b")])
+    landing, seen = tmp_path / "landing", []
+
+    def arrive(name):
+        for part in range(3 if name == "a" else 0):
+            table = lake.table(lake.bronze, name)
+            seen.append((part, sorted(f.name for f in landing.glob("*/*.txt")), spark.catalog.tableExists(table)))
+            land(tmp_path, f"{part}^|~1^|~a", f"{part}^|~1^|~a", "short", name=name, file=f"{part}.txt")
+            yield part
+
+    out = load_all(spark, lake, registry, str(landing), RUN, fail_fast=False, before=arrive, single_file=False, discard=True)
+    found = {r["table_name"]: (r["success"], r["record_count"], r["malformed_rows"]) for r in out.collect()}
+    assert found == {"a": (True, 9, 3), "b": (False, 0, None)}
+    assert seen == [(0, [], False), (1, [], False), (2, [], False)] and not list(landing.glob("*/*.txt"))
+    loaded = rows(spark, lake, lake.bronze, "a")
+    assert sorted(r[0] for r in loaded) == sorted([*"001122", *["short"] * 3]) and {r[4] for r in loaded} == {"0.txt", "1.txt", "2.txt"}
+    log = {r["target_table"].split("`")[3]: r for r in audit_log(spark, lake, lake.bronze).collect()}
+    assert (log["a"]["success"], log["a"]["record_count"]) == (1, 9) and log["a"]["source_file_path"].endswith("/landing/a")
+    assert "no .txt file" in log["b"]["failure_reason"] and file_ledger(spark, lake).count() == 3
+    assert load_folders(spark, lake).where("name = 'a'").count() == 1
+
+
+def test_a_load_that_fails_in_a_later_part_leaves_the_table(spark, lake, tmp_path):
+    load_bronze(spark, lake, ITEMS, land(tmp_path, "1^|~1^|~a"), RUN)
+    (tmp_path / "landing" / "items" / "a.txt").unlink()
+
+    def fetch():
+        yield land(tmp_path, "2^|~2^|~b", file="b.txt")
+        raise OSError("source is down")
+
+    for options in ({}, {"single_file": False}):
+        with pytest.raises(ValueError, match="parts are files"):
+            load_bronze(spark, lake, ITEMS, str(tmp_path / "landing"), RUN, parts=fetch(), **options)
+    with pytest.raises(OSError, match="source is down"):
+        load_bronze(spark, lake, ITEMS, str(tmp_path / "landing"), RUN, single_file=False, discard=True, parts=fetch())
+    assert [r[0] for r in rows(spark, lake, lake.bronze)] == ["1"] and file_ledger(spark, lake).count() == 1
+    assert audit_log(spark, lake, lake.bronze).where("failure_reason = 'source is down'").count() == 1
